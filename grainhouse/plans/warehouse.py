@@ -6,6 +6,7 @@ report after that is a scan of narrow Parquet columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from grainhouse.functions import labels
 from grainhouse.functions.scalar import minutes_between, week_start
-from grainhouse.operators.keys import with_surrogate_key
+from grainhouse.operators.keys import percent_rank_weights, with_surrogate_key
 from grainhouse.plans import layers
 from grainhouse.session import tune
 from grainhouse.sources.driver_tables import DriverTables
@@ -40,6 +41,14 @@ class Warehouse:
         self.raw = raw
         self.store = store
         self.spark = store.spark
+        self._kept: dict[str, DataFrame] = {}
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A frame over written tables, built on first use and kept. Writing its
+        tables again would pull them from under the frame handed out before."""
+        if name not in self._kept:
+            self._kept[name] = build()
+        return self._kept[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         """A table by its declared name, from any layer."""
@@ -200,6 +209,16 @@ class Warehouse:
             }
         )
 
+    @cached_property
+    def seller_revenue_ranks(self) -> DataFrame:
+        """Distinct seller revenues with their percent rank, highest first."""
+        revenue = (
+            self.fact_order_items.where(F.col("seller_key").isNotNull())
+            .groupBy("seller_key")
+            .agg(F.sum("price").cast("decimal(38,2)").alias("revenue"))
+        )
+        return percent_rank_weights(revenue, "revenue", self.store, "seller_revenue")
+
     # --- bookkeeping -----------------------------------------------------------------
 
     def build(self) -> Warehouse:

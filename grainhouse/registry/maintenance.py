@@ -1 +1,218 @@
-QUERIES = {}
+"""History, incremental loads, schema changes, file sources and publishing as queries."""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from grainhouse.operators.aggregates import union_all
+from grainhouse.operators.history import HISTORY, high_water_mark, increment, scd2_apply, start_history
+from grainhouse.operators.joins import with_match
+from grainhouse.plans import layers, rebuild
+from grainhouse.plans.warehouse import RawTables
+from grainhouse.registry.oracle import key8
+from grainhouse.registry.quality import SRC
+from grainhouse.sources.files import read_csv, refresh_mirror, write_csv
+from grainhouse.sources.schemas import DWH_SCHEMAS, SCHEMAS, SRC_SCHEMAS
+from grainhouse.sources.store import Store, drop_columns
+
+SINCE, AS_OF = "1995-01-01", "2001-09-01"
+CUT = "2000-01-01"
+LOOKBACK = datetime.timedelta(days=30)
+
+
+def _below(wh, name: str) -> Store:
+    return Store(wh.spark, wh.store.path(name))
+
+
+def _seller_snapshot(wh):
+    """A later snapshot of all sellers: those with a negative balance have moved,
+    and every nation has opened a market stall of its own."""
+    moved = wh.raw.table("supplier").select(
+        F.col("s_suppkey").cast("string").alias("seller_id"), (F.col("s_acctbal") < 0).alias("moved")
+    )
+    known = wh.dim_seller.join(moved, "seller_id").select(
+        "seller_id", F.when(F.col("moved"), "RIO DE JANEIRO").otherwise(F.col("city")).alias("city"), "state"
+    )
+    stalls = wh.raw.table("nation").select(
+        F.concat(F.lit("stall-"), F.col("n_nationkey").cast("string")).alias("seller_id"),
+        F.upper("n_name").alias("city"),
+        F.upper("n_name").alias("state"),
+    )
+    return known.unionByName(stalls)
+
+
+def scd2(wh):
+    return wh.once(
+        "scd2",
+        lambda: scd2_apply(
+            start_history(wh.dim_seller, SINCE), _seller_snapshot(wh), "seller_id", "seller_key", ["city"], AS_OF, wh.store, "scd2"
+        ),
+    )
+
+
+def undo_scd2(wh):
+    """Drop the history columns and reload the dimension from staging."""
+
+    def reload():
+        assert drop_columns(scd2(wh), HISTORY).columns == DWH_SCHEMAS["dim_seller"].names
+        rows = layers.located_sellers(wh.stg_sellers, wh.zip_centres)
+        return wh._dimension(rows, "seller_id", "dim_seller")
+
+    return wh.once("undo", lambda: Store_copy(wh, "undo").dimension(reload))
+
+
+class Store_copy:
+    """Reload a table under another folder, so that the table in use stays."""
+
+    def __init__(self, wh, name: str):
+        self.wh, self.name = wh, name
+
+    def dimension(self, build):
+        kept, self.wh.store = self.wh.store, _below(self.wh, self.name)
+        try:
+            return build()
+        finally:
+            self.wh.store = kept
+
+
+def incremental(wh):
+    """Items bought before the cut are loaded, but shipped orders come late. The
+    next run takes everything after its mark, less the look-back."""
+    shipped = wh.dim_order.where(F.col("order_status") == "shipped")
+    source = wh.fact_order_items.drop("fact_key", "purchase_year")
+    early = source.where(F.col("purchase_timestamp") < F.lit(CUT).cast("timestamp_ntz"))
+    loaded = early.join(shipped.select("order_key"), "order_key", "left_anti")
+    mark = high_water_mark(loaded, "purchase_timestamp")
+    return increment(loaded, source, ["order_id", "order_item_id"], "purchase_timestamp", mark, LOOKBACK)
+
+
+_INCREMENT = f"""
+    SELECT f.* FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key
+    WHERE (f.purchase_timestamp >= DATE '{CUT}' OR order_status = 'shipped')
+      AND f.purchase_timestamp > (SELECT MAX(purchase_timestamp) FROM fact_order_items i JOIN dim_order d ON i.order_key = d.order_key
+                                  WHERE purchase_timestamp < DATE '{CUT}' AND order_status <> 'shipped') - INTERVAL {LOOKBACK.days} DAY"""
+
+
+def _old_model(wh):
+    """The model before the migration: timing on the order dimension as well, and
+    no delivery date key on the items."""
+    timing = wh.orders.select(
+        "order_key", F.col("delay_days").alias("delivery_delay_days"), F.col("actual_days").alias("actual_delivery_days")
+    )
+    dim_order = wh.dim_order.join(timing, "order_key", "left")
+    return dim_order, wh.fact_order_items.drop("delivered_date_key", "purchase_year")
+
+
+def schema_change(wh):
+    return rebuild.migrate_delivery_timing(*_old_model(wh))[0]
+
+
+def backfilled(wh):
+    items = rebuild.migrate_delivery_timing(*_old_model(wh))[1]
+    return items.select("order_id", "order_item_id", "delivered_date_key")
+
+
+def csv_roundtrip(wh):
+    def run():
+        path = wh.store.path("csv_reviews")
+        write_csv(wh.raw.order_reviews, path)
+        return read_csv(wh.spark, path, SCHEMAS["order_reviews"])
+
+    return wh.once("csv_reviews", run)
+
+
+def _mirror(wh):
+    """The nine raw tables as CSV, loaded into a mirror of their own."""
+
+    def run():
+        for name in SRC_SCHEMAS:
+            write_csv(wh.raw[name] if isinstance(wh.raw, dict) else getattr(wh.raw, name), wh.store.path(f"csv/{name}.csv"))
+        tables = refresh_mirror(_below(wh, "mirror"), wh.store.path("csv"))
+        return union_all([t.agg(F.count(F.lit(1)).alias("total_rows")).select(F.lit(n).alias("table_name"), "total_rows") for n, t in tables.items()])
+
+    return wh.once("mirror", run)
+
+
+def published(wh):
+    """Rows and money of every published table, as read back."""
+
+    def run():
+        tables = rebuild.publish(wh, _below(wh, "published"))
+        money = {"fact_order_items": "price", "fact_payments": "payment_value"}
+
+        def summary(name, table):
+            value = F.sum(money[name]) if name in money else F.lit(None)
+            return table.agg(F.count(F.lit(1)).alias("total_rows"), value.cast("decimal(38,2)").alias("value")).select(
+                F.lit(name).alias("table_name"), "total_rows", "value"
+            )
+
+        return union_all([summary(n, t) for n, t in tables.items()])
+
+    return wh.once("published", run)
+
+
+def create_append(wh):
+    """Create a table if absent, then append two halves by column name, the
+    second with its columns in another order."""
+
+    def run():
+        store, schema = _below(wh, "appended"), SCHEMAS["stg_payments"]
+        store.overwrite(wh.spark.createDataFrame([], schema), "stg_payments")
+        store.ensure("stg_payments", schema)
+        first = F.col("payment_sequential") == 1
+        store.append(wh.stg_payments.where(first), "stg_payments", schema)
+        rest = wh.stg_payments.where(~first)
+        return store.append(rest.select(*reversed(rest.columns)), "stg_payments", schema)
+
+    return wh.once("appended", run)
+
+
+def full_rebuild(wh):
+    """Every layer from the raw tables into a run of its own, gated."""
+
+    def run():
+        raw = RawTables({name: getattr(wh.raw, name) for name in SRC_SCHEMAS})
+        return rebuild.rebuild(raw, _below(wh, "release"), "first")
+
+    return wh.once("release", run)
+
+
+_MONEY = "DECIMAL(38,2)"
+_VALUES = {"fact_order_items": f"CAST(SUM(price) AS {_MONEY})", "fact_payments": f"CAST(SUM(payment_value) AS {_MONEY})"}
+
+QUERIES = {
+    "h_scd2": (
+        scd2,
+        f"""
+        SELECT s.* EXCLUDE (moved), DATE '{SINCE}' AS valid_from, CASE WHEN moved THEN DATE '{AS_OF}' END AS valid_to, NOT moved AS is_current
+        FROM (SELECT d.*, s_acctbal < 0 AS moved FROM dim_seller d JOIN supplier ON seller_id = CAST(s_suppkey AS VARCHAR)) s
+        UNION ALL
+        SELECT (SELECT MAX(seller_key) FROM dim_seller) + row_number() OVER (ORDER BY seller_id), seller_id, city, state, zip_code, country,
+               latitude, longitude, DATE '{AS_OF}', NULL, TRUE
+        FROM (SELECT seller_id, 'RIO DE JANEIRO' AS city, state, zip_code, country, latitude, longitude
+              FROM dim_seller JOIN supplier ON seller_id = CAST(s_suppkey AS VARCHAR) WHERE s_acctbal < 0
+              UNION ALL SELECT 'stall-' || n_nationkey, upper(n_name), upper(n_name), NULL, NULL, NULL, NULL FROM nation)""",
+    ),
+    "h_undo_scd2": (undo_scd2, "SELECT * FROM dim_seller"),
+    "h_incremental": (incremental, _INCREMENT),
+    "h_schema_change": (schema_change, "SELECT * FROM dim_order"),
+    "h_backfill": (
+        backfilled,
+        f"SELECT order_id, order_item_id, {key8('delivered_customer_date')} AS delivered_date_key FROM fact_order_items",
+    ),
+    "io_csv_roundtrip": (csv_roundtrip, "SELECT * FROM src_reviews"),
+    "io_mirror_refresh": (
+        _mirror,
+        "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, COUNT(*) AS total_rows FROM {SRC[t]}" for t in SRC_SCHEMAS),
+    ),
+    "io_publish": (
+        published,
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, COUNT(*) AS total_rows, {_VALUES.get(t, f'CAST(NULL AS {_MONEY})')} AS value FROM {t}" for t in DWH_SCHEMAS
+        ),
+    ),
+    "io_create_append": (create_append, "SELECT * FROM stg_payments"),
+    "rebuild_gates": (full_rebuild, None),
+}
