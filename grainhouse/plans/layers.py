@@ -16,6 +16,7 @@ from grainhouse.functions.scalar import (
     clean_upper,
     date_key,
     days_between,
+    month_key,
     zip5,
 )
 from grainhouse.operators.joins import lookup, resolve_keys
@@ -23,7 +24,7 @@ from grainhouse.sources.schemas import SCHEMAS
 from grainhouse.sources.store import conform
 
 COUNTRY = "Brazil"
-YEAR = "purchase_year"  # partition column of the order-dated tables
+YEAR, MONTH = "purchase_year", "purchase_month"  # partition columns of the order-dated tables
 
 # --- staging: clean copies, same grain --------------------------------------
 
@@ -186,22 +187,22 @@ def order_spine(orders: DataFrame, customers: DataFrame, dim_customer: DataFrame
 # --- facts ---------------------------------------------------------------------
 
 
-def laid_out(df: DataFrame) -> DataFrame:
-    """Placed for a write by purchase year, each file holding a narrow run of days.
+def laid_out(df: DataFrame, partition: str = YEAR) -> DataFrame:
+    """Placed for a write by purchase year or month, each file a narrow run of days.
 
     ``rebalance`` sizes the files from measured data: a month holding a third of
     all rows is split, small months share a task. Sorting by day gives the row
-    groups tight date bounds, so date filters skip them inside a year, too.
+    groups tight date bounds, so date filters skip them inside a partition, too.
     """
-    month = F.floor(F.col("purchase_date_key") / 100)
-    dated = df.withColumns({"_month": month, YEAR: F.floor(F.col("purchase_date_key") / 10000).cast("int")})
-    return dated.hint("rebalance", "_month").sortWithinPartitions(YEAR, "purchase_date_key").drop("_month")
+    dated = df.withColumns({YEAR: F.floor(F.col("purchase_date_key") / 10000).cast("int"), MONTH: month_key("purchase_date_key")})
+    sorted_days = dated.hint("rebalance", MONTH).sortWithinPartitions(partition, "purchase_date_key")
+    return sorted_days.drop(YEAR if partition == MONTH else MONTH)
 
 
-def _keyed(fact: DataFrame, schema: str) -> DataFrame:
+def _keyed(fact: DataFrame, schema: str, partition: str) -> DataFrame:
     """Laid out, with a key that is unique per row (not dense, no extra shuffle)."""
-    keyed = laid_out(fact).withColumn("fact_key", F.monotonically_increasing_id() + 1)
-    return conform(keyed, T.StructType([*SCHEMAS[schema].fields, T.StructField(YEAR, T.IntegerType())]))
+    keyed = laid_out(fact, partition).withColumn("fact_key", F.monotonically_increasing_id() + 1)
+    return conform(keyed, T.StructType([*SCHEMAS[schema].fields, T.StructField(partition, T.IntegerType())]))
 
 
 def _with_order(child: DataFrame, spine: DataFrame, *extra: str) -> DataFrame:
@@ -209,7 +210,9 @@ def _with_order(child: DataFrame, spine: DataFrame, *extra: str) -> DataFrame:
     return child.join(spine.select("order_id", "order_key", "customer_key", "purchase_date_key", *extra), "order_id")
 
 
-def fact_order_items(items: DataFrame, spine: DataFrame, dim_seller: DataFrame, dim_product: DataFrame) -> DataFrame:
+def fact_order_items(
+    items: DataFrame, spine: DataFrame, dim_seller: DataFrame, dim_product: DataFrame, partition: str = YEAR
+) -> DataFrame:
     """One row per order item. Days are NULL for orders that never arrived; a
     delay above zero is late."""
     rows = _with_order(
@@ -233,14 +236,14 @@ def fact_order_items(items: DataFrame, spine: DataFrame, dim_seller: DataFrame,
             "actual_delivery_days": days_between("order_purchase_timestamp", arrived),
         }
     )
-    return _keyed(rows, "fact_order_items")
+    return _keyed(rows, "fact_order_items", partition)
 
 
-def fact_payments(payments: DataFrame, spine: DataFrame) -> DataFrame:
+def fact_payments(payments: DataFrame, spine: DataFrame, partition: str = YEAR) -> DataFrame:
     """One row per payment of an order."""
-    return _keyed(_with_order(payments, spine), "fact_payments")
+    return _keyed(_with_order(payments, spine), "fact_payments", partition)
 
 
-def fact_reviews(reviews: DataFrame, spine: DataFrame) -> DataFrame:
+def fact_reviews(reviews: DataFrame, spine: DataFrame, partition: str = YEAR) -> DataFrame:
     """One row per review and order; a review id alone is not unique."""
-    return _keyed(_with_order(reviews, spine), "fact_reviews")
+    return _keyed(_with_order(reviews, spine), "fact_reviews", partition)

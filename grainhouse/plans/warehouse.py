@@ -34,12 +34,13 @@ class Warehouse:
     """All layers over one set of raw tables.
 
     ``raw`` has one attribute per source table; ``store`` receives what is
-    written.
+    written; ``partition`` is the partition column of the facts.
     """
 
-    def __init__(self, raw, store: Store):
+    def __init__(self, raw, store: Store, partition: str = layers.YEAR):
         self.raw = raw
         self.store = store
+        self.partition = partition
         self.spark = store.spark
         self._kept: dict[str, DataFrame] = {}
 
@@ -127,18 +128,20 @@ class Warehouse:
 
     @cached_property
     def fact_order_items(self) -> DataFrame:
-        rows = layers.fact_order_items(self.stg_order_items, self.order_spine, self.dim_seller, self.dim_product)
-        return self.store.overwrite(rows, "fact_order_items", [layers.YEAR])
+        rows = layers.fact_order_items(
+            self.stg_order_items, self.order_spine, self.dim_seller, self.dim_product, self.partition
+        )
+        return self.store.overwrite(rows, "fact_order_items", [self.partition])
 
     @cached_property
     def fact_payments(self) -> DataFrame:
-        rows = layers.fact_payments(self.stg_payments, self.order_spine)
-        return self.store.overwrite(rows, "fact_payments", [layers.YEAR])
+        rows = layers.fact_payments(self.stg_payments, self.order_spine, self.partition)
+        return self.store.overwrite(rows, "fact_payments", [self.partition])
 
     @cached_property
     def fact_reviews(self) -> DataFrame:
-        rows = layers.fact_reviews(self.stg_reviews, self.order_spine)
-        return self.store.overwrite(rows, "fact_reviews", [layers.YEAR])
+        rows = layers.fact_reviews(self.stg_reviews, self.order_spine, self.partition)
+        return self.store.overwrite(rows, "fact_reviews", [self.partition])
 
     # --- semantic layer -------------------------------------------------------------
 
@@ -192,7 +195,7 @@ class Warehouse:
         for side in (items, payments, reviews):
             joined = joined.join(side, "order_key", "left")
         joined = joined.fillna(0, ["items", "payments", "reviews"])
-        return self.store.overwrite(layers.laid_out(joined), "order_totals", [layers.YEAR])
+        return self.store.overwrite(layers.laid_out(joined, self.partition), "order_totals", [self.partition])
 
     @cached_property
     def orders(self) -> DataFrame:

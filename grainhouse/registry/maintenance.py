@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 
 from grainhouse.operators.aggregates import union_all
 from grainhouse.operators.history import HISTORY, high_water_mark, increment, scd2_apply, start_history
-from grainhouse.operators.joins import with_match
+from grainhouse.operators.keys import with_surrogate_key
 from grainhouse.plans import layers, rebuild
-from grainhouse.plans.warehouse import RawTables
 from grainhouse.registry.oracle import key8
 from grainhouse.registry.quality import SRC
 from grainhouse.sources.files import read_csv, refresh_mirror, write_csv
 from grainhouse.sources.schemas import DWH_SCHEMAS, SCHEMAS, SRC_SCHEMAS
-from grainhouse.sources.store import Store, drop_columns
+from grainhouse.sources.store import Store, conform, drop_columns
 
 SINCE, AS_OF = "1995-01-01", "2001-09-01"
 CUT = "2000-01-01"
@@ -56,25 +55,14 @@ def undo_scd2(wh):
     """Drop the history columns and reload the dimension from staging."""
 
     def reload():
-        assert drop_columns(scd2(wh), HISTORY).columns == DWH_SCHEMAS["dim_seller"].names
+        schema = DWH_SCHEMAS["dim_seller"]
+        left = drop_columns(scd2(wh), HISTORY).columns
+        if left != schema.names:
+            raise ValueError(f"history left {left}")
         rows = layers.located_sellers(wh.stg_sellers, wh.zip_centres)
-        return wh._dimension(rows, "seller_id", "dim_seller")
+        return conform(with_surrogate_key(rows, "seller_id", "seller_key", _below(wh, "undo"), "dim_seller"), schema)
 
-    return wh.once("undo", lambda: Store_copy(wh, "undo").dimension(reload))
-
-
-class Store_copy:
-    """Reload a table under another folder, so that the table in use stays."""
-
-    def __init__(self, wh, name: str):
-        self.wh, self.name = wh, name
-
-    def dimension(self, build):
-        kept, self.wh.store = self.wh.store, _below(self.wh, self.name)
-        try:
-            return build()
-        finally:
-            self.wh.store = kept
+    return wh.once("undo", reload)
 
 
 def incremental(wh):
@@ -128,7 +116,7 @@ def _mirror(wh):
 
     def run():
         for name in SRC_SCHEMAS:
-            write_csv(wh.raw[name] if isinstance(wh.raw, dict) else getattr(wh.raw, name), wh.store.path(f"csv/{name}.csv"))
+            write_csv(wh[name], wh.store.path(f"csv/{name}.csv"))
         tables = refresh_mirror(_below(wh, "mirror"), wh.store.path("csv"))
         return union_all([t.agg(F.count(F.lit(1)).alias("total_rows")).select(F.lit(n).alias("table_name"), "total_rows") for n, t in tables.items()])
 
@@ -173,8 +161,7 @@ def full_rebuild(wh):
     """Every layer from the raw tables into a run of its own, gated."""
 
     def run():
-        raw = RawTables({name: getattr(wh.raw, name) for name in SRC_SCHEMAS})
-        return rebuild.rebuild(raw, _below(wh, "release"), "first")
+        return rebuild.rebuild(wh.raw, _below(wh, "release"), "first")
 
     return wh.once("release", run)
 
