@@ -43,14 +43,14 @@ def number_rows(df: DataFrame, by: Sequence[str | Column], name: str, store: Sto
     """Add ``name`` = 1, 2, 3, … in the order of ``by``.
 
     One range shuffle. Give enough columns in ``by`` to make rows distinct: a hot
-    value of the first column is then spread over several partitions.
+    value of the first column is then spread over several partitions. The result
+    reads the placed rows kept as ``table``.
     """
     placed = store.overwrite(
-        df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(SLOT, F.monotonically_increasing_id()),
-        f"{table}_placed",
+        df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(SLOT, F.monotonically_increasing_id()), table
     )
     sizes = placed.groupBy(_partition(F.col(SLOT)).alias("_part")).agg((F.max(_row(F.col(SLOT))) + 1).alias("_rows"))
-    offsets = store.overwrite(rows_before(sizes, "_part", "_rows", "_before").drop("_rows"), f"{table}_offsets")
+    offsets = rows_before(sizes, "_part", "_rows", "_before").drop("_rows")
     # offsets: one row per range partition, so its size is bounded by the shuffle width
     return (
         placed.withColumn("_part", _partition(F.col(SLOT)))
@@ -61,21 +61,33 @@ def number_rows(df: DataFrame, by: Sequence[str | Column], name: str, store: Sto
 
 
 def with_surrogate_key(df: DataFrame, natural_key: str, name: str, store: Store, table: str) -> DataFrame:
-    """Dense integer key from 1 in the order of the natural key."""
-    return number_rows(df, [natural_key], name, store, table)
+    """Write ``table`` with a dense integer key from 1 in the order of the natural key.
+
+    The keyed rows are a plain table: its size is known to the planner, which can
+    then broadcast it where it is small instead of shuffling the fact it joins.
+    """
+    placed = f"{table}_placed"
+    keyed = store.overwrite(number_rows(df, [natural_key], name, store, placed), table)
+    store.remove(placed)
+    return keyed
 
 
 def number_within(
     df: DataFrame, group: str, order: Sequence[str], name: str, store: Store, table: str
 ) -> DataFrame:
-    """Number the rows of every group 1, 2, 3, … without putting a group in one task.
+    """Write ``table`` with the rows of every group numbered 1, 2, 3, …
 
-    The global position is taken over (group, order), which splits a hot group
-    over partitions; the first position of the group is a partial aggregate.
+    No group is ever put in one task: the global position is taken over (group,
+    order), which splits a hot group over partitions; the first position of a
+    group is a partial aggregate, and the join back is split by AQE.
     """
-    positions = number_rows(df, [group, *order], "_pos", store, table)
+    placed = f"{table}_placed"
+    positions = number_rows(df, [group, *order], "_pos", store, placed)
     first = positions.groupBy(group).agg(F.min("_pos").alias("_first"))
-    return positions.join(first, group).withColumn(name, F.col("_pos") - F.col("_first") + 1).drop("_pos", "_first")
+    numbered = positions.join(first, group).withColumn(name, F.col("_pos") - F.col("_first") + 1)
+    written = store.overwrite(numbered.drop("_pos", "_first"), table)
+    store.remove(placed)
+    return written
 
 
 def percent_rank_weights(df: DataFrame, value: str, store: Store, table: str) -> DataFrame:
@@ -90,7 +102,7 @@ def percent_rank_weights(df: DataFrame, value: str, store: Store, table: str) ->
         distinct.repartitionByRange(F.col(value).desc()).withColumn("_part", F.spark_partition_id()), f"{table}_values"
     )
     sizes = placed.groupBy("_part").agg(F.sum("n").alias("_n"))
-    offsets = store.overwrite(rows_before(sizes, "_part", "_n", "_before"), f"{table}_offsets")
+    offsets = rows_before(sizes, "_part", "_n", "_before")
     total = offsets.agg(F.sum("_n").alias("_total"))
     above = (
         Window.partitionBy("_part").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)

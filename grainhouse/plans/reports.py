@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,33 +25,47 @@ from grainhouse.functions.scalar import (
 from grainhouse.operators.aggregates import exact_median, share_of_total, side_by_side
 from grainhouse.operators.joins import with_match
 from grainhouse.plans import measures as m
+from grainhouse.plans.layers import MONTH, YEAR
 from grainhouse.plans.warehouse import Warehouse
 
 net = labels.is_net("order_status")
 
 
-def _day(text: str) -> Column:
-    return F.lit(text).cast("date")
+def between_dates(df: DataFrame, first: str | None = None, last: str | None = None, role: str = "purchase") -> DataFrame:
+    """Keep a window of days, both included, given as yyyy-mm-dd.
 
-
-def clip_dates(df: DataFrame, column: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Keep a display window, both days included; used by reports only."""
-    if first is not None:
-        df = df.where(F.col(column) >= _day(first))
-    if last is not None:
-        df = df.where(F.col(column) <= _day(last))
+    The bounds go to the date key and to the partition column, so whole
+    partitions and row groups outside the window are never read.
+    """
+    key = f"{role}_date_key"
+    partitions = {YEAR: 10000, MONTH: 100}
+    for bound, keep in ((first, Column.__ge__), (last, Column.__le__)):
+        if bound is not None:
+            number = int(bound.replace("-", ""))
+            df = df.where(keep(F.col(key), F.lit(number)))
+            for column, unit in partitions.items():
+                if role == "purchase" and column in df.columns:
+                    df = df.where(keep(F.col(column), F.lit(number // unit)))
     return df
 
 
+def _day_before(text: str) -> str:
+    return str(datetime.date.fromisoformat(text) - datetime.timedelta(days=1))
+
+
+def _months(wh: Warehouse, before: str | None, where: Column) -> DataFrame:
+    rows = between_dates(wh.orders.where(where), last=None if before is None else _day_before(before))
+    return m.attach(wh, rows, ["year", "month"])
+
+
 # --- revenue over time ------------------------------------------------------------
 
 
 def monthly_items(wh: Warehouse, before: str | None = None) -> DataFrame:
     """Orders with items and their revenue per purchase month."""
-    rows = m.attach(wh, wh.orders.where(F.col("items") > 0), ["year", "month", "full_date"])
-    rows = rows if before is None else rows.where(F.col("full_date") < _day(before))
     return (
-        rows.groupBy("year", "month")
+        _months(wh, before, F.col("items") > 0)
+        .groupBy("year", "month")
         .agg(F.count(F.lit(1)).alias("orders"), money_sum("items_revenue").alias("revenue"))
         .orderBy("year", "month")
     )
@@ -61,32 +76,30 @@ def monthly_net(wh: Warehouse, before: str | None = None) -> DataFrame:
 
     Filter, order and date joins, then two sums; a paid order is one mirror row.
     """
-    rows = m.attach(wh, wh.orders.where(net & (F.col("payments") > 0)), ["year", "month", "full_date"])
-    rows = rows if before is None else rows.where(F.col("full_date") < _day(before))
     return (
-        rows.groupBy("year", "month")
+        _months(wh, before, net & (F.col("payments") > 0))
+        .groupBy("year", "month")
         .agg(F.count(F.lit(1)).alias("orders"), money_sum("paid").alias("net_revenue"))
         .orderBy("year", "month")
     )
 
 
-def _daily(wh: Warehouse, *more: str, only: Column | None = None, where: Column | None = None) -> DataFrame:
+def _daily(wh: Warehouse, *more: str, orders: DataFrame | None = None) -> DataFrame:
     """Paid revenue and orders per purchase day.
 
     Orders are reduced to days before the calendar is joined.
     """
-    paid = wh.orders.where(F.col("payments") > 0)
-    paid = paid if only is None else paid.where(only)
+    paid = (wh.orders if orders is None else orders).where(F.col("payments") > 0)
     days = paid.groupBy("purchase_date_key").agg(
         money_sum("paid").alias("daily_revenue"), F.count(F.lit(1)).alias("orders")
     )
-    rows = m.with_dates(wh, days, sorted({"full_date", *more})).drop("purchase_date_key")
-    return rows if where is None else rows.where(where)
+    return m.with_dates(wh, days, sorted({"full_date", *more})).drop("purchase_date_key")
 
 
 def daily_net(wh: Warehouse, first: str | None = None, last: str | None = None) -> DataFrame:
     """Daily net revenue, highest day first."""
-    return clip_dates(_daily(wh, only=net), "full_date", first, last).orderBy(F.col("daily_revenue").desc(), "full_date")
+    days = _daily(wh, orders=between_dates(wh.orders.where(net), first, last))
+    return days.orderBy(F.col("daily_revenue").desc(), "full_date")
 
 
 def weekday_revenue(wh: Warehouse) -> DataFrame:
@@ -99,14 +112,17 @@ def weekday_revenue(wh: Warehouse) -> DataFrame:
     )
 
 
-def _in_months(month: int, years: Sequence[int]) -> Column:
-    return (F.col("month") == month) & F.col("year").isin(*years)
+def _month_days(wh: Warehouse, month: int, years: Sequence[int]) -> DataFrame:
+    """Daily revenue of one month in the given years; other years are not read."""
+    first, last = f"{min(years)}-{month:02d}-01", f"{max(years)}-{month:02d}-31"
+    days = _daily(wh, "year", "month", orders=between_dates(wh.orders, first, last))
+    return days.where((F.col("month") == month) & F.col("year").isin(*years))
 
 
 def month_daily(wh: Warehouse, month: int, years: Sequence[int]) -> DataFrame:
     """Daily revenue of one month in the given years, highest first."""
     return (
-        _daily(wh, "year", "month", where=_in_months(month, years))
+        _month_days(wh, month, years)
         .select("full_date", "daily_revenue", "orders")
         .orderBy(F.col("daily_revenue").desc(), "full_date")
     )
@@ -115,13 +131,11 @@ def month_daily(wh: Warehouse, month: int, years: Sequence[int]) -> DataFrame:
 def month_head(wh: Warehouse, month: int, years: Sequence[int], days: tuple[int, int]) -> DataFrame:
     """Daily revenue of the first days of a month, year by year."""
     day = F.dayofmonth("full_date")
-    rows = _daily(wh, "year", "month", where=_in_months(month, years) & day.between(*days))
+    rows = _month_days(wh, month, years).where(day.between(*days))
     return rows.select("year", day.alias("day"), "full_date", "daily_revenue").orderBy("year", "day")
 
 
-def holiday_test(
-    wh: Warehouse, month: int, window: tuple[int, int], event_days: Mapping[int, int]
-) -> DataFrame:
+def holiday_test(wh: Warehouse, month: int, window: tuple[int, int], event_days: Mapping[int, int]) -> DataFrame:
     """Per year: mean daily revenue outside the window, inside it, and on the day.
 
     ``event_days`` maps a year to the day of the month the event fell on.
@@ -133,7 +147,7 @@ def holiday_test(
         on_event = on_event | ((F.col("year") == year) & (day == event))
     revenue = F.col("daily_revenue")
     return (
-        _daily(wh, "year", "month", where=_in_months(month, list(event_days)))
+        _month_days(wh, month, list(event_days))
         .groupBy("year")
         .agg(
             mean(F.when(~inside, revenue)).alias("avg_baseline"),
@@ -558,7 +572,7 @@ def overview_categories(wh: Warehouse, category_group: str | None = None) -> Dat
 
 def overview_months(wh: Warehouse, first: str | None = None, last: str | None = None) -> DataFrame:
     """Net item revenue against late orders, month by month."""
-    rows = clip_dates(m.attach(wh, wh.orders, ["year", "month", "full_date"]), "full_date", first, last)
+    rows = m.attach(wh, between_dates(wh.orders, first, last), ["year", "month"])
     revenue = F.coalesce(money_sum(F.when(net, F.col("items_revenue"))), F.lit(0).cast("decimal(38,2)"))
     return rows.groupBy("year", "month").agg(revenue.alias("items_revenue_net"), *m.late_columns())
 

@@ -162,7 +162,7 @@ class DriverTables:
             ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"],
             "order_item_id",
             self.store,
-            "lines",
+            "numbered_lines",
         )
         rows = numbered.select(
             F.col("l_orderkey").alias("order_id"),
@@ -173,7 +173,7 @@ class DriverTables:
             F.col("l_extendedprice").alias("price"),
             (F.lit(5) + F.col("l_partkey") % 30).alias("freight_value"),
         )
-        return self.store.overwrite(self._shape(rows, "order_items"), "order_items")
+        return self._shape(rows, "order_items")
 
     @cached_property
     def order_payments(self) -> DataFrame:

@@ -47,9 +47,17 @@ class Store:
 
     def exists(self, name: str) -> bool:
         """True when the table was written completely."""
-        jvm = self.spark._jvm
-        marker = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
-        return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
+        folder, marker = self._on_filesystem(f"{name}/_SUCCESS")
+        return folder.exists(marker)
+
+    def remove(self, name: str) -> None:
+        """Delete a table that nothing reads any more."""
+        folder, path = self._on_filesystem(name)
+        folder.delete(path, True)
+
+    def _on_filesystem(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace a table (truncate and load) and return it as read back.
