@@ -99,7 +99,11 @@ def delay_severity(delay_days: Column | str) -> Column:
     return bucket(delay_days, SEVERITY_STEPS, SEVERITY_REST)
 
 
-def is_net(status: Column | str) -> Column:
+def is_delivered(status: Column | str = "order_status") -> Column:
+    return as_col(status) == DELIVERED
+
+
+def is_net(status: Column | str = "order_status") -> Column:
     """True for orders counted in net revenue. A missing status does not count."""
     return ~as_col(status).isin(*NOT_NET)
 

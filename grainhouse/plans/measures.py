@@ -28,8 +28,6 @@ ORDER_COLUMNS = (
     "delivery_bucket_sort", "duration_band", "duration_band_sort", "promise_status",
 )
 
-is_delivered = F.col("order_status") == labels.DELIVERED
-
 
 def sellers(wh: Warehouse) -> DataFrame:
     """Seller dimension with column names that say the place is the seller's."""
@@ -194,7 +192,7 @@ def category_orders(wh: Warehouse, by: str = "category_group") -> DataFrame:
 def late_columns() -> list[Column]:
     """Late and delivered orders and their ratio, for a grouped order mirror.
     Delivered applies to both sides of the ratio."""
-    delivered = is_delivered & (F.col("items") > 0)
+    delivered = labels.is_delivered() & (F.col("items") > 0)
     late = delivered & (F.col("delay_days") > 0)
     return [
         count_where(late).alias("late_orders"),
@@ -289,7 +287,7 @@ def review_average(wh: Warehouse, by: Sequence[str] = ()) -> DataFrame:
     return on_orders(
         wh,
         by,
-        F.round(mean_score(is_delivered), 6).alias("avg_score_delivered"),
+        F.round(mean_score(labels.is_delivered()), 6).alias("avg_score_delivered"),
         F.round(mean_score(), 6).alias("avg_score_all"),
         F.sum("reviews").alias("reviews"),
     )
@@ -306,7 +304,7 @@ def points_lost(wh: Warehouse, by: Sequence[str] = ("customer_state",)) -> DataF
     A missing delay counts as zero, so delivered orders without a date are on time.
     """
     delay = F.coalesce(F.col("delay_days"), F.lit(0))
-    on_time, late = mean_score(is_delivered & (delay <= 0)), mean_score(is_delivered & (delay > 0))
+    on_time, late = mean_score(labels.is_delivered() & (delay <= 0)), mean_score(labels.is_delivered() & (delay > 0))
     return on_orders(
         wh,
         by,

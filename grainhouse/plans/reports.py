@@ -28,9 +28,6 @@ from grainhouse.plans import measures as m
 from grainhouse.plans.layers import MONTH, YEAR
 from grainhouse.plans.warehouse import Warehouse
 
-net = labels.is_net("order_status")
-
-
 def between_dates(df: DataFrame, first: str | None = None, last: str | None = None, role: str = "purchase") -> DataFrame:
     """Keep a window of days, both included, given as yyyy-mm-dd.
 
@@ -77,7 +74,7 @@ def monthly_net(wh: Warehouse, before: str | None = None) -> DataFrame:
     Filter, order and date joins, then two sums; a paid order is one mirror row.
     """
     return (
-        _months(wh, before, net & (F.col("payments") > 0))
+        _months(wh, before, labels.is_net() & (F.col("payments") > 0))
         .groupBy("year", "month")
         .agg(F.count(F.lit(1)).alias("orders"), money_sum("paid").alias("net_revenue"))
         .orderBy("year", "month")
@@ -98,7 +95,7 @@ def _daily(wh: Warehouse, *more: str, orders: DataFrame | None = None) -> DataFr
 
 def daily_net(wh: Warehouse, first: str | None = None, last: str | None = None) -> DataFrame:
     """Daily net revenue, highest day first."""
-    days = _daily(wh, orders=between_dates(wh.orders.where(net), first, last))
+    days = _daily(wh, orders=between_dates(wh.orders.where(labels.is_net()), first, last))
     return days.orderBy(F.col("daily_revenue").desc(), "full_date")
 
 
@@ -552,7 +549,7 @@ def cliff(wh: Warehouse, span: int = 25, min_orders: int = 30) -> DataFrame:
 
 def cliff_delivered(wh: Warehouse, span: int = 25, min_orders: int = 30) -> DataFrame:
     """The dashboard form: mean over reviews of delivered orders per day of delay."""
-    delivered = wh.orders.where(m.is_delivered & (F.col("items") > 0) & F.col("delay_days").between(-span, span))
+    delivered = wh.orders.where(labels.is_delivered() & (F.col("items") > 0) & F.col("delay_days").between(-span, span))
     return (
         delivered.groupBy("delay_days")
         .agg(F.round(m.mean_score(), 6).alias("avg_score"), F.count(F.lit(1)).alias("delivered_orders"))
@@ -573,7 +570,7 @@ def overview_categories(wh: Warehouse, category_group: str | None = None) -> Dat
 def overview_months(wh: Warehouse, first: str | None = None, last: str | None = None) -> DataFrame:
     """Net item revenue against late orders, month by month."""
     rows = m.attach(wh, between_dates(wh.orders, first, last), ["year", "month"])
-    revenue = F.coalesce(money_sum(F.when(net, F.col("items_revenue"))), F.lit(0).cast("decimal(38,2)"))
+    revenue = F.coalesce(money_sum(F.when(labels.is_net(), F.col("items_revenue"))), F.lit(0).cast("decimal(38,2)"))
     return rows.groupBy("year", "month").agg(revenue.alias("items_revenue_net"), *m.late_columns())
 
 
@@ -596,7 +593,7 @@ def delivery_cards(wh: Warehouse) -> DataFrame:
 
 def payment_cards(wh: Warehouse) -> DataFrame:
     """Net paid revenue, mean instalments and share of orders with several payments."""
-    paid = m.on_orders(wh, [], money_sum(F.when(net, F.col("paid"))).alias("net_revenue_paid"))
+    paid = m.on_orders(wh, [], money_sum(F.when(labels.is_net(), F.col("paid"))).alias("net_revenue_paid"))
     return side_by_side(paid, m.payment_habits(wh))
 
 
@@ -605,8 +602,8 @@ def promise_bands(wh: Warehouse) -> DataFrame:
     return m.on_orders(
         wh,
         ["duration_band", "duration_band_sort", "promise_status"],
-        F.round(m.mean_score(m.is_delivered), 6).alias("avg_score"),
-        F.sum(F.when(m.is_delivered, F.col("reviews"))).alias("reviews"),
+        F.round(m.mean_score(labels.is_delivered()), 6).alias("avg_score"),
+        F.sum(F.when(labels.is_delivered(), F.col("reviews"))).alias("reviews"),
         where=F.col("duration_band").isNotNull(),
     )
 

@@ -16,7 +16,6 @@ from grainhouse.registry.measures import _MONEY, _NET
 from grainhouse.registry.oracle import case, mean, minutes, per
 
 _INT_MEAN = "CAST(trunc(CAST(SUM({0}) AS DOUBLE) / COUNT({0})) AS BIGINT)".format
-ONE = F.lit(1)
 
 
 # --- columns and predicates ---------------------------------------------------
@@ -143,7 +142,7 @@ def drill(wh):
     return j.drill_across(
         wh.fact_order_items,
         "order_key",
-        {"actual_days": F.max("actual_delivery_days"), "items": F.count(ONE)},
+        {"actual_days": F.max("actual_delivery_days"), "items": F.count(F.lit(1))},
         wh.fact_reviews.select("order_key", "review_id", "review_score"),
     )
 
@@ -153,10 +152,10 @@ def drill(wh):
 
 def counts(wh):
     return wh.fact_order_items.groupBy("seller_key").agg(
-        F.count(ONE).alias("items"),
+        F.count(F.lit(1)).alias("items"),
         F.countDistinct("order_key").alias("orders"),
         F.countDistinct("product_key").alias("products"),
-        (F.count(ONE) - F.countDistinct("order_key")).alias("extra"),
+        (F.count(F.lit(1)) - F.countDistinct("order_key")).alias("extra"),
     )
 
 
@@ -254,7 +253,7 @@ def sliced_places(wh):
 def totals_row(wh):
     """Independent totals as one row."""
     return a.side_by_side(
-        wh.stg_orders.agg(F.count(ONE).alias("orders")),
+        wh.stg_orders.agg(F.count(F.lit(1)).alias("orders")),
         wh.stg_order_items.agg(s.money_sum("price").alias("items")),
         wh.stg_payments.agg(s.money_sum("payment_value").alias("paid")),
         wh.stg_reviews.agg(F.max("review_score").alias("best")),
@@ -404,7 +403,7 @@ QUERIES = {
         "SELECT l_orderkey, l_linenumber, COUNT(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1",
     ),
     "agg_repeat_count": (
-        lambda wh: repeated_lines(wh).agg(F.count(ONE).alias("repeated"), F.sum("copies").alias("total_rows")),
+        lambda wh: repeated_lines(wh).agg(F.count(F.lit(1)).alias("repeated"), F.sum("copies").alias("total_rows")),
         """SELECT COUNT(*) AS repeated, CAST(SUM(c) AS BIGINT) AS total_rows
            FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)""",
     ),
@@ -421,7 +420,7 @@ QUERIES = {
         f"SELECT customer_state, revenue, {per('revenue', 'SUM(revenue) OVER ()', 100)} AS pct FROM ({_STATE_SALES})",
     ),
     "agg_bucketed": (
-        lambda wh: wh.fact_payments.groupBy(s.bucket("payment_value", labels.VALUE_STEPS, labels.VALUE_REST).alias("bucket")).agg(F.count(ONE).alias("n")),
+        lambda wh: wh.fact_payments.groupBy(s.bucket("payment_value", labels.VALUE_STEPS, labels.VALUE_REST).alias("bucket")).agg(F.count(F.lit(1)).alias("n")),
         f"SELECT {case('payment_value', labels.VALUE_STEPS, labels.VALUE_REST)} AS bucket, COUNT(*) AS n FROM fact_payments GROUP BY 1",
     ),
     "agg_median": (
@@ -471,7 +470,7 @@ QUERIES = {
     ),
     "set_union_all": (
         lambda wh: a.union_all(
-            [wh[f].groupBy("purchase_date_key").agg(F.count(ONE).alias("n")).select(F.lit(f).alias("fact"), "purchase_date_key", "n") for f in ("fact_order_items", "fact_payments", "fact_reviews")]
+            [wh[f].groupBy("purchase_date_key").agg(F.count(F.lit(1)).alias("n")).select(F.lit(f).alias("fact"), "purchase_date_key", "n") for f in ("fact_order_items", "fact_payments", "fact_reviews")]
         ),
         "\nUNION ALL\n".join(
             f"SELECT '{f}' AS fact, purchase_date_key, COUNT(*) AS n FROM {f} GROUP BY purchase_date_key" for f in ("fact_order_items", "fact_payments", "fact_reviews")

@@ -38,9 +38,13 @@ class DriverTables:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.store = store
+        self._given: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its footer is read once."""
+        if name not in self._given:
+            self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._given[name]
 
     @staticmethod
     def _shape(df: DataFrame, name: str) -> DataFrame:
