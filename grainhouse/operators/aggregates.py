@@ -19,11 +19,11 @@ def collapse(df: DataFrame, by: Sequence[str], key: str, *values: Column) -> Dat
 def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
     """Percentage of the grand total beside every row.
 
-    The total is a one-row aggregate of its own rather than a window over
-    everything, which would run in one task.
+    The total is a scalar subquery rather than a window over everything, which
+    would run in one task; AQE lets it share the shuffles of ``df``.
     """
-    total = df.agg(F.sum(value).alias("_total"))
-    return df.crossJoin(F.broadcast(total)).withColumn(name, percent(F.col(value), F.col("_total"))).drop("_total")
+    total = df.agg(F.sum(value)).scalar()
+    return df.withColumn(name, percent(F.col(value), total))
 
 
 def exact_median(df: DataFrame, value: str) -> DataFrame:
@@ -54,8 +54,10 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def side_by_side(*one_row: DataFrame) -> DataFrame:
-    """One-row aggregates as one row."""
-    return reduce(lambda left, right: left.crossJoin(F.broadcast(right)), one_row)
+    """One-row aggregates as one row: stacked by name, then folded, so that no
+    cross join is planned."""
+    stacked = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), one_row)
+    return stacked.agg(*[F.max(c).alias(c) for df in one_row for c in df.columns])
 
 
 def repeated(df: DataFrame, keys: Sequence[str], name: str = "copies") -> DataFrame:

@@ -82,8 +82,8 @@ def scd2_apply(
     moved = store.overwrite(both.select(key, F.explode(versions).alias("_v")).select(key, "_v.*"), f"{table}_versions")
 
     numbered = number_rows(moved.where(F.col(surrogate).isNull()).drop(surrogate), [key], "_n", store, f"{table}_new")
-    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("_highest"))
-    added = numbered.crossJoin(F.broadcast(highest)).withColumn(surrogate, F.col("_highest") + F.col("_n"))
+    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
+    added = numbered.withColumn(surrogate, highest + F.col("_n"))
     kept = moved.where(F.col(surrogate).isNotNull())
     older = dim.where("NOT is_current")
     return older.unionByName(kept.select(*dim.columns)).unionByName(added.select(*dim.columns))

@@ -83,9 +83,10 @@ def number_within(
     """
     placed = f"{table}_placed"
     positions = number_rows(df, [group, *order], "_pos", store, placed)
-    first = positions.groupBy(group).agg(F.min("_pos").alias("_first"))
-    numbered = positions.join(first, group).withColumn(name, F.col("_pos") - F.col("_first") + 1)
-    written = store.overwrite(numbered.drop("_pos", "_first"), table)
+    first = positions.groupBy(F.col(group).alias("_group")).agg(F.min("_pos").alias("_first"))
+    joined = positions.join(first, F.col(group).eqNullSafe(F.col("_group")))
+    numbered = joined.withColumn(name, F.col("_pos") - F.col("_first") + 1)
+    written = store.overwrite(numbered.drop("_pos", "_first", "_group"), table)
     store.remove(placed)
     return written
 
@@ -103,18 +104,11 @@ def percent_rank_weights(df: DataFrame, value: str, store: Store, table: str) ->
     )
     sizes = placed.groupBy("_part").agg(F.sum("n").alias("_n"))
     offsets = rows_before(sizes, "_part", "_n", "_before")
-    total = offsets.agg(F.sum("_n").alias("_total"))
+    total = offsets.agg(F.sum("_n")).scalar()
     above = (
         Window.partitionBy("_part").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
     )
     ahead = F.col("_before") + F.coalesce(F.sum("n").over(above), F.lit(0))
-    # both broadcast sides have at most one row per range partition
-    return (
-        placed.join(F.broadcast(offsets.select("_part", "_before")), "_part")
-        .crossJoin(F.broadcast(total))
-        .select(
-            value,
-            "n",
-            F.when(F.col("_total") > 1, ahead / (F.col("_total") - 1)).otherwise(F.lit(0.0)).alias("pct_rank"),
-        )
-    )
+    # offsets: one row per range partition
+    ranked = placed.join(F.broadcast(offsets.select("_part", "_before")), "_part")
+    return ranked.select(value, "n", F.coalesce(F.try_divide(ahead, total - 1), F.lit(0.0)).alias("pct_rank"))

@@ -256,9 +256,22 @@ QUERIES = {
             for f, c in [(f, "purchase_date_key") for f in q.FACTS] + [("fact_order_items", "delivered_date_key")]
         ),
     ),
-    "dq_gates": (
-        q.gates,
-        "SELECT unnest(['row counts', 'totals preserved', 'missing keys', 'orphans', 'duplicate grain', 'conflicting scores', "
-        "'key population', 'negative days', 'band sort', 'date coverage']) AS gate, CAST(0 AS BIGINT) AS failures",
-    ),
 }
+
+_ABSENT = " + ".join(f"COALESCE(missing_{d}, 0)" for d in ("customer", "order", "seller", "product"))
+_GATES = [
+    ("row counts", "dq_row_counts", "SUM(ABS(diff))"),
+    ("totals preserved", "dq_totals_preserved", "COUNT(*) FILTER (WHERE ABS(diff) > 1e-9 * GREATEST(ABS(source_value), 1))"),
+    ("missing keys", "dq_missing_keys", f"SUM({_ABSENT})"),
+    ("orphans", "dq_orphans", "SUM(orphans)"),
+    ("duplicate grain", "dq_grain_dups", "COUNT(*)"),
+    ("conflicting scores", "dq_conflicts", "COUNT(*)"),
+    ("key population", "dq_key_population", "SUM(total_rows - distinct_keys)"),
+    ("negative days", "dq_negative_days", "COUNT(*)"),
+    ("band sort", "dq_band_sort", "COUNT(*)"),
+    ("date coverage", "dq_date_key_coverage", "SUM(unmatched_keys)"),
+]
+QUERIES["dq_gates"] = (
+    q.gates,
+    _union(f"SELECT '{gate}' AS gate, CAST({failures} AS BIGINT) AS failures FROM ({QUERIES[name][1]})" for gate, name, failures in _GATES),
+)

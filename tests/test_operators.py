@@ -55,6 +55,39 @@ def test_numbering_within_groups(frame, store, skewed, many_partitions):
     assert rows_of(got.select("g", "i", "n")) == sorted(want, key=repr)
 
 
+def test_numbering_keeps_the_group_without_a_key(frame, store):
+    got = number_within(frame([(None, 2), ("a", 9), (None, 1)], "g string, i int"), "g", ["i"], "n", store, "nulls")
+    assert rows_of(got.select("g", "i", "n")) == [("a", 9, 1), (None, 1, 1), (None, 2, 2)]
+
+
+def test_hot_key_is_split_over_tasks(spark, frame):
+    """AQE reads the partition of a hot join key in pieces, and then adds the
+    shuffle the grouping after it needs."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1000",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60000
+        items = spark.range(0, n, 1, 8).selectExpr("if(id % 3 = 0, 7, id) AS order_key", "id AS price", "uuid() AS pad")
+        orders = spark.range(0, n, 1, 4).selectExpr("id AS order_key")
+        kept = j.with_match(items, orders, "order_key").groupBy("order_key").agg(F.sum("price"), F.max("pad"))
+        kept.write.format("noop").mode("overwrite").save()
+        kept.collect()
+        text = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in text or "isSkewJoin=true" in text or "skewed" in text
+
+
 def test_percent_rank_with_ties(frame, store, skewed, many_partitions):
     got = percent_rank_weights(frame(skewed, "g string, i int, v int"), "v", store, "ranks")
     counts = Counter(v for _, _, v in skewed)
