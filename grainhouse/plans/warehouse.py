@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from grainhouse.functions import labels
 from grainhouse.functions.scalar import minutes_between, week_start
-from grainhouse.operators.keys import percent_rank_weights, with_surrogate_key
+from grainhouse.operators.keys import number_rows, percent_rank_weights, with_surrogate_key
 from grainhouse.plans import layers
-from grainhouse.session import tune
+from grainhouse.session import input_bytes, size_shuffles, tune
 from grainhouse.sources.driver_tables import DriverTables
 from grainhouse.sources.schemas import DWH_SCHEMAS, SRC_SCHEMAS, STG_SCHEMAS
 from grainhouse.sources.store import Store, conform
@@ -120,9 +120,17 @@ class Warehouse:
 
     @cached_property
     def order_spine(self) -> DataFrame:
+        """Every order with its key, person, address and timestamps.
+
+        Orders are numbered before the lookups, so that the sampling pass of the
+        range shuffle scans staging instead of running the joins twice.
+        """
         self.together("dim_customer", "zip_centres")
-        spine = layers.order_spine(self.stg_orders, self.stg_customers, self.dim_customer, self.zip_centres)
-        return with_surrogate_key(spine, "order_id", "order_key", self.store, "order_spine")
+        orders = number_rows(self.stg_orders, ["order_id"], "order_key", self.store, "orders_placed")
+        spine = layers.order_spine(orders, self.stg_customers, self.dim_customer, self.zip_centres)
+        written = self.store.overwrite(spine, "order_spine")
+        self.store.remove("orders_placed")
+        return written
 
     @cached_property
     def dim_order(self) -> DataFrame:
@@ -263,5 +271,7 @@ def open_driver_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     if key not in _open:
         label = "".join(c if c.isalnum() else "-" for c in key[1]).strip("-")
         store = Store.scratch(spark, label)
-        _open[key] = Warehouse(DriverTables(spark, folder, store), store)
+        raw = DriverTables(spark, folder, store)
+        size_shuffles(spark, input_bytes(raw.table("lineitem"), raw.table("orders")))
+        _open[key] = Warehouse(raw, store)
     return _open[key]

@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. AQE picks join strategies from measured
 # sizes, splits skewed join partitions (also where that costs one more shuffle)
@@ -18,6 +18,11 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Bytes of input one shuffle partition should stand for, and the most partitions
+# a shuffle starts with.
+SHUFFLE_BYTES = 256 << 20
+MAX_SHUFFLE_PARTITIONS = 30_000
+
 _own_folders: dict[str, str] = {}
 
 
@@ -29,6 +34,32 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def input_bytes(*frames: DataFrame) -> int:
+    """Size of the files a set of frames reads, from the planner's statistics."""
+    total = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for i in range(leaves.size()):
+            size = int(str(leaves.apply(i).stats().sizeInBytes()))
+            total += size if size < 1 << 60 else 0  # frames without files have no usable size
+    return total
+
+
+def size_shuffles(spark: SparkSession, size: int) -> int:
+    """Start shuffles with enough partitions for ``size`` bytes of input.
+
+    The default of 200 would give partitions of hundreds of gigabytes on a large
+    warehouse. Only ever raises the session's own setting; AQE merges partitions
+    that turn out small, so a shuffle of little data does not pay for it.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-size // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if wanted > current:
+        spark.conf.set(key, str(wanted))
+    return max(wanted, current)
+
+
 def local_session(cores: str = "*", app: str = "grainhouse", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

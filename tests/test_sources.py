@@ -10,7 +10,7 @@ from grainhouse.plans.layers import calendar_between, stg_products
 from grainhouse.plans.quality import column_contract, gates, schema_issues
 from grainhouse.plans.rebuild import GateError, migrate_delivery_timing, open_current, rebuild
 from grainhouse.plans.warehouse import RawTables, Warehouse
-from grainhouse.session import shared_folder
+from grainhouse.session import input_bytes, shared_folder, size_shuffles
 from grainhouse.sources.files import read_csv, refresh_mirror
 from grainhouse.sources.schemas import SCHEMAS, SRC_SCHEMAS
 from grainhouse.sources.store import Store, add_columns, backfill, conform, drop_columns
@@ -215,6 +215,33 @@ def test_conform_is_by_name(frame):
     assert conform(df, SCHEMAS["stg_reviews"]).dtypes == [("review_id", "string"), ("order_id", "string"), ("review_score", "int")]
 
 
+def test_shuffles_grow_with_the_input(spark, frame, store):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    written = store.overwrite(spark.range(1000).toDF("n"), "n")
+    assert 1000 < input_bytes(written) < 100_000 and input_bytes(frame([(1,)], "n int")) < 1 << 60
+    try:
+        usual = size_shuffles(spark, input_bytes(written))
+        assert usual == int(spark.conf.get("spark.sql.shuffle.partitions")) and spark.conf.get(key, None) is None
+        assert size_shuffles(spark, 1 << 40) == 4096
+        assert size_shuffles(spark, 100 << 40) == 30_000
+    finally:
+        spark.conf.unset(key)
+
+
+def test_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "yarn"
+            getConf = staticmethod(lambda: Session.conf)
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+
+
 def test_shared_folder_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_folder(spark) == named.rstrip("/")
