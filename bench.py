@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from grainhouse.plans.warehouse import open_driver_warehouse
+from grainhouse.plans.warehouse import close_driver_warehouses, open_driver_warehouse
 from grainhouse.registry import entries
 from grainhouse.session import local_session
 
@@ -45,6 +45,7 @@ def main() -> None:
         queries[name][0](warehouse).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - start, 3)
 
+    close_driver_warehouses(spark)
     spark.stop()
     print(
         json.dumps(

@@ -27,7 +27,7 @@ def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def exact_median(df: DataFrame, value: str) -> DataFrame:
-    """One-row median of a whole-number column.
+    """One-row median of a whole-number column of bounded range, such as days.
 
     Equal values are counted first, so the final step sees one row per distinct
     value instead of one per input row.

@@ -275,3 +275,10 @@ def open_driver_warehouse(spark: SparkSession, folder: str) -> Warehouse:
         size_shuffles(spark, input_bytes(raw.table("lineitem"), raw.table("orders")))
         _open[key] = Warehouse(raw, store)
     return _open[key]
+
+
+def close_driver_warehouses(spark: SparkSession) -> None:
+    """Delete what the warehouses of this application have written."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _open if k[0] == app]:
+        _open.pop(key).store.clear()

@@ -55,8 +55,12 @@ class Store:
         folder, path = self._on_filesystem(name)
         folder.delete(path, True)
 
+    def clear(self) -> None:
+        """Delete the whole folder with every table in it."""
+        self.remove("")
+
     def _on_filesystem(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name).rstrip("/"))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

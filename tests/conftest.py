@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from grainhouse.plans.warehouse import open_driver_warehouse  # noqa: E402
+from grainhouse.plans.warehouse import close_driver_warehouses, open_driver_warehouse  # noqa: E402
 from grainhouse.session import local_session  # noqa: E402
 from grainhouse.sources.store import Store  # noqa: E402
 
@@ -17,6 +17,7 @@ SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     session = local_session("4", app="tests")
     yield session
+    close_driver_warehouses(session)
     session.stop()
 
 
