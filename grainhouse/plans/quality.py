@@ -238,6 +238,17 @@ def band_sort(wh: Warehouse) -> DataFrame:
     return counted.where(F.col("distinct_sorts") > 1)
 
 
+def column_list(frames: Mapping[str, DataFrame], spark) -> DataFrame:
+    """Tables, columns, positions, types and nullability."""
+    rows = [
+        (table, f.name, place, f.dataType.simpleString(), f.nullable)
+        for table, df in frames.items()
+        for place, f in enumerate(df.schema.fields, start=1)
+    ]
+    schema = "table_name string, column_name string, position int, data_type string, nullable boolean"
+    return spark.createDataFrame(rows, schema)
+
+
 def schema_issues(df: DataFrame, table: str) -> list[tuple[str, str, str]]:
     """Missing, unexpected and differently typed columns, from the schema alone."""
     want = {f.name: f.dataType.simpleString() for f in SCHEMAS[table].fields}

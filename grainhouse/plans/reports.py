@@ -351,10 +351,13 @@ def instalment_buckets(wh: Warehouse, payment_type: str = "credit_card") -> Data
 
 
 def city_state(
-    wh: Warehouse, cities: Sequence[str] | None = None, states: Sequence[str] | None = None
+    wh: Warehouse,
+    cities: Sequence[str] | None = None,
+    states: Sequence[str] | None = None,
+    by: Sequence[str] = ("city", "state"),
 ) -> DataFrame:
-    """Item revenue and distinct sellers by customer city and state, optionally
-    for named cities or states."""
+    """Item revenue and distinct sellers by customer place, optionally for named
+    cities or states."""
     places = wh.dim_order.select("order_key", "city", "state")
     if cities is not None:
         places = places.where(F.col("city").isin(*cities))
@@ -363,9 +366,9 @@ def city_state(
     per_pair = wh.fact_order_items.groupBy("order_key", "seller_key").agg(F.sum("price").alias("price"))
     return (
         per_pair.join(places, "order_key")
-        .groupBy("city", "state", "seller_key")
+        .groupBy(*by, "seller_key")
         .agg(F.sum("price").alias("price"))
-        .groupBy("city", "state")
+        .groupBy(*by)
         .agg(money_sum("price").alias("revenue"), F.count("seller_key").alias("sellers"))
     )
 
@@ -567,9 +570,22 @@ def overview_categories(wh: Warehouse, category_group: str | None = None) -> Dat
     return table if category_group is None else table.where(F.col("category_group") == category_group)
 
 
-def overview_months(wh: Warehouse, first: str | None = None, last: str | None = None) -> DataFrame:
+def _category_orders(wh: Warehouse, category_group: str) -> DataFrame:
+    """The order mirror as a slicer on a category group leaves it: only orders with
+    an item of the group, and only the revenue of those items."""
+    sliced = wh.products.where(F.col("category_group") == category_group)
+    kept = with_match(wh.fact_order_items, sliced, "product_key").groupBy("order_key").agg(
+        F.sum("price").alias("items_revenue")
+    )
+    return wh.orders.drop("items_revenue").join(kept, "order_key")
+
+
+def overview_months(
+    wh: Warehouse, first: str | None = None, last: str | None = None, category_group: str | None = None
+) -> DataFrame:
     """Net item revenue against late orders, month by month."""
-    rows = m.attach(wh, between_dates(wh.orders, first, last), ["year", "month"])
+    orders = wh.orders if category_group is None else _category_orders(wh, category_group)
+    rows = m.attach(wh, between_dates(orders, first, last), ["year", "month"])
     revenue = F.coalesce(money_sum(F.when(labels.is_net(), F.col("items_revenue"))), F.lit(0).cast("decimal(38,2)"))
     return rows.groupBy("year", "month").agg(revenue.alias("items_revenue_net"), *m.late_columns())
 

@@ -201,6 +201,11 @@ QUERIES = {
             FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key
             WHERE city IN ('NATION_3', 'NATION_7') AND state IN ('NATION_3', 'NATION_7') GROUP BY city, state""",
     ),
+    "r_state_sellers": (
+        lambda wh: r.city_state(wh, by=["state"]),
+        f"""SELECT state, CAST(SUM(price) AS {_MONEY}) AS revenue, COUNT(DISTINCT seller_key) AS sellers
+            FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key GROUP BY state""",
+    ),
     "r_named_sellers": (
         lambda wh: r.named_sellers(wh, _poor_suppliers(wh)),
         f"""SELECT s.seller_id, CAST(SUM(price) AS {_MONEY}) AS revenue, COUNT(DISTINCT f.order_id) AS orders
@@ -251,6 +256,12 @@ QUERIES = {
             FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key JOIN dim_date ON purchase_date_key = date_key
             WHERE full_date BETWEEN DATE '{CLIP[0]}' AND DATE '{CLIP[1]}' GROUP BY year, month""",
     ),
+    "r_page_overview_sliced": (
+        lambda wh: r.overview_months(wh, category_group="Home & Furniture"),
+        f"""SELECT year, month, CAST(COALESCE(SUM(price) FILTER (WHERE {_NET}), 0) AS {_MONEY}) AS items_revenue_net, {_LATE_COLUMNS}
+            FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key JOIN dim_date ON purchase_date_key = date_key
+            JOIN dim_product_grouped p ON f.product_key = p.product_key WHERE category_group = 'Home & Furniture' GROUP BY year, month""",
+    ),
     "r_page_delivery": (
         r.late_by_state_top,
         f"""SELECT o.state AS customer_state, {_LATE_COLUMNS} FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key

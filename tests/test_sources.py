@@ -7,7 +7,7 @@ import pytest
 from conftest import rows_of
 
 from grainhouse.plans.layers import calendar_between, stg_products
-from grainhouse.plans.quality import column_contract, gates, schema_issues
+from grainhouse.plans.quality import column_contract, column_list, gates, schema_issues
 from grainhouse.plans.rebuild import GateError, migrate_delivery_timing, open_current, rebuild
 from grainhouse.plans.warehouse import RawTables, Warehouse
 from grainhouse.session import input_bytes, shared_folder, size_shuffles
@@ -170,6 +170,8 @@ def test_contract_reports_types_columns_and_lengths(spark, raw):
         key=repr,
     )
     assert schema_issues(raw.orders, "orders") == []
+    listed = column_list({"sellers": raw.sellers}, spark).where("column_name = 'seller_zip_code_prefix'")
+    assert rows_of(listed) == [("sellers", "seller_zip_code_prefix", 2, "int", True)]
 
 
 def test_table_create_append_by_name_and_schema_change(frame, store):
