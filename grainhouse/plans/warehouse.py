@@ -185,7 +185,6 @@ class Warehouse:
         self.together("stg_order_items", "dim_customer", "dim_product", "zip_centres", "dim_date")
         self.together("order_spine", "dim_seller")
         self.together("fact_order_items", "fact_payments", "fact_reviews")
-        carrier = "delivered_carrier_date"
         items = self.fact_order_items.groupBy("order_key").agg(
             F.count(F.lit(1)).alias("items"),
             F.sum("price").alias("items_revenue"),
@@ -193,8 +192,8 @@ class Warehouse:
             F.max("delivery_delay_days").alias("delay_days"),
             F.max("actual_delivery_days").alias("actual_days"),
             F.max("delivered_date_key").alias("delivered_date_key"),
-            F.max(minutes_between("purchase_timestamp", carrier)).alias("handling_minutes"),
-            F.max(minutes_between(carrier, "delivered_customer_date")).alias("transit_minutes"),
+            F.max("delivered_carrier_date").alias("_carrier"),
+            F.max("delivered_customer_date").alias("_customer"),
         )
         payments = self.fact_payments.groupBy("order_key").agg(
             F.count(F.lit(1)).alias("payments"), F.sum("payment_value").alias("paid")
@@ -215,7 +214,14 @@ class Warehouse:
         joined = orders
         for side in (items, payments, reviews):
             joined = joined.join(side, "order_key", "left")
-        joined = joined.fillna(0, ["items", "payments", "reviews"])
+        # timing is constant within an order, so minutes are worked out once per order
+        timed = joined.withColumns(
+            {
+                "handling_minutes": minutes_between("purchase_timestamp", "_carrier"),
+                "transit_minutes": minutes_between("_carrier", "_customer"),
+            }
+        ).drop("_carrier", "_customer")
+        joined = timed.fillna(0, ["items", "payments", "reviews"])
         return self.store.overwrite(layers.laid_out(joined, self.partition), "order_totals", [self.partition])
 
     @cached_property
