@@ -11,6 +11,7 @@ from grainhouse.operators.history import HISTORY, high_water_mark, increment, sc
 from grainhouse.operators.keys import with_surrogate_key
 from grainhouse.plans import layers, rebuild
 from grainhouse.registry.oracle import key8
+from grainhouse.registry.quality import QUERIES as QUALITY
 from grainhouse.registry.quality import SRC
 from grainhouse.sources.files import read_csv, refresh_mirror, write_csv
 from grainhouse.sources.schemas import DWH_SCHEMAS, SCHEMAS, SRC_SCHEMAS
@@ -201,5 +202,6 @@ QUERIES = {
         ),
     ),
     "io_create_append": (create_append, "SELECT * FROM stg_payments"),
-    "rebuild_gates": (full_rebuild, None),
+    # a rebuild returns only when its gates have passed
+    "rebuild_gates": (full_rebuild, QUALITY["dq_gates"][1]),
 }
