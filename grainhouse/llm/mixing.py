@@ -96,25 +96,30 @@ def _thresholds(sized: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, store: Store, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (how often the mix takes the row, 0 to ``MOST``).
+    """(_row, size, source_size, target, copies): each row of ``docs`` as a struct, and how often the mix takes it (0 to ``MOST``).
 
     The driver sees one row per source; counts by length meet per source. Null and empty texts have size 0 and are taken once. A null source is a source, the
     last. Rows that are equal in doc_id and text hash alike: where a cut falls among them all or none of them are taken once more,
     which can move a source's sum by their words. Columns of ``docs`` that have the names of added ones are replaced.
     """
-    added = ["size", "source_size", "target", "copies"]
-    bare = docs.drop(*added)
-    keyed = bare.withColumns({"size": word_count(), "_hash": F.xxhash64(F.lit(seed), "doc_id", "text"), "_source": F.col("source")})
+    # the row travels as one column, so its names cannot clash with those used here
+    keyed = docs.select(
+        F.struct("*").alias("_row"),
+        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_source"),  # null sources must join, too
+        word_count().alias("size"),
+        F.xxhash64(F.lit(seed), "doc_id", "text").alias("_hash"),
+    )
     sized = store.overwrite(keyed.select("_source", "size", "_hash"), "sizes")
     by_length = sized.groupBy("_source", "size").agg(F.count(F.lit(1)).alias("n"))
     by_length = store.overwrite(by_length, "lengths")
-    sizes = {r["_source"]: r["s"] for r in by_length.groupBy("_source").agg(F.sum(F.col("size") * F.col("n")).alias("s")).collect()}
-    aims = targets(sizes)
+    totals = by_length.groupBy("_source").agg(F.sum(F.col("size") * F.col("n")).alias("s")).collect()
+    sizes = {r["_source"]: r["s"] for r in totals}
+    aims = targets({s[1:] if s else None: n for s, n in sizes.items()})
+    aims = {s: aims[s[1:] if s else None] for s in sizes}
     epochs = {s: min(MOST, int(aims[s] // sizes[s])) if sizes[s] else 1 for s in sizes}
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         source = group["_source"].iloc[0]
-        source = None if pd.isna(source) else source
         budget = round(aims[source]) - epochs[source] * sizes[source] if sizes[source] and epochs[source] < MOST else 0
         found = fill(dict(zip(group["size"].tolist(), group["n"].tolist(), strict=True)), max(0, budget))
         rows = [(source, length, n) for length, n in found.items() if n and budget > 0]
@@ -123,27 +128,25 @@ def mix(docs: DataFrame, store: Store, seed: int = SEED) -> DataFrame:
     # one row per length of a source, at most about the square root of twice its words
     chosen = by_length.groupBy("_source").applyInPandas(choose, "_source string, size long, take long")
     chosen = store.overwrite(chosen, "chosen")
-    # null sources must join, too
-    named = lambda df: df.withColumn("_source", F.coalesce(F.concat(F.lit("="), "_source"), F.lit("")))
-    cuts = store.overwrite(_thresholds(named(sized), named(chosen)), "cuts")
+    cuts = store.overwrite(_thresholds(sized, chosen), "cuts")
     rows = docs.sparkSession.createDataFrame(
-        [("" if s is None else f"={s}", sizes[s], float(aims[s]), epochs[s]) for s in sizes],
-        "_source string, source_size long, target double, _epochs int",
+        [(s, sizes[s], float(aims[s]), epochs[s]) for s in sizes], "_source string, source_size long, target double, _epochs int"
     )
-    out = named(keyed).join(F.broadcast(rows), "_source", "left")  # one row per source
+    out = keyed.join(F.broadcast(rows), "_source", "left")  # one row per source
     out = out.join(broadcast_checked(cuts), ["_source", "size"], "left")
     extra = (F.col("_hash") <= F.col("_cut")).cast("int")
     copies = F.when(F.col("size") == 0, 1).otherwise(F.col("_epochs") + F.coalesce(extra, F.lit(0)))
-    return out.withColumn("copies", copies).select(*bare.columns, *added)
+    return out.select("_row", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mixture(docs: DataFrame, store: Store) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row."""
     found = mix(docs.select("doc_id", "text", "source"), store)
-    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return found.select("_row.doc_id", "size", "source_size", "target", taken)
 
 
 def repeat_rows(docs: DataFrame, store: Store) -> DataFrame:
     """The rows of the mix, each as often as it is taken, with the columns of ``docs``."""
     found = mix(docs, store).where("copies > 0")
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    return found.select("_row", F.explode(F.sequence(F.lit(1), "copies"))).select("_row.*")

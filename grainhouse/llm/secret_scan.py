@@ -243,6 +243,7 @@ def mask(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     def finish(acc: Column) -> Column:
         return F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text")))
 
-    found = with_spans(docs)
+    # the row travels as one column, so its names cannot clash with those used here
+    found = with_spans(docs.select("text", F.struct("*").alias("_row")))
     text = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, finish)).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    return found.select(F.col("_row").withField("text", text).alias("_row")).select("_row.*")
