@@ -157,6 +157,10 @@ def _tested(candidates: str) -> Column:
     return found
 
 
+def _tagged(spans: str, kind: int) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
+
+
 def _scanned(docs: DataFrame) -> DataFrame:
     """``docs`` with _base: array<(start, kind number, end)> and _tested: candidates that touch none of them."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -172,10 +176,7 @@ def _scanned(docs: DataFrame) -> DataFrame:
     found = found.withColumns({name: _spans("_text", pattern, name) for name, pattern in spans.items()})
     long_value = lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_LENGTH
     found = found.withColumn("_assign", F.filter("_assign", long_value))
-    tagged = [
-        F.transform(name, lambda s, k=k: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
-        for k, name in enumerate(("_assign", "_access", "_hex"))
-    ]
+    tagged = [_tagged(name, k) for k, name in enumerate(("_assign", "_access", "_hex"))]
     found = found.withColumn("_base", F.array_sort(F.concat(*tagged)))
     candidate = lambda s: (
         s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]") & ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
@@ -210,8 +211,9 @@ def with_spans(docs: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
     if low:
         limits = F.create_map(*[F.lit(x) for pair in sorted(low.items()) for x in pair])
         random = F.filter(random, lambda s: s["bin"] < F.coalesce(F.try_element_at(limits, s["family"]), F.lit(_BINS + 1)))
-    added = F.transform(random, lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")))
-    return found.withColumn("_spans", F.array_sort(F.concat("_base", added))).drop("_tested", "_text")
+    found = found.withColumn("_random", random)
+    spans = F.array_sort(F.concat("_base", _tagged("_random", KINDS.index("random"))))
+    return found.withColumn("_spans", spans).drop("_random").drop("_tested", "_text")
 
 
 def _listed(spans: str) -> Column:
