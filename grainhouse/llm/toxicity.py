@@ -166,8 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column) ->
     weights = _weights(bad, clean, sizes.get(1, 0), sizes.get(0, 0))
     curve = (0.0, 0.0, 0.0, -3.0)
     if weights:
-        sample = of(calibrate).withColumn("_at", F.xxhash64("doc_id")).orderBy("_at", "doc_id").limit(FIT_ROWS)
-        rows = _features(sample, weights).collect()
+        rows = _features(of(calibrate), weights).orderBy("at").limit(FIT_ROWS).collect()
         y = np.array([r.toxic for r in rows], float)
         if 0 < y.sum() < len(y):
             curve = _logistic(np.array([[r.a, r.b, r.c] for r in rows]), y)
@@ -197,17 +196,17 @@ def _weights(bad: dict[str, int], clean: dict[str, int], n_bad: int, n_clean: in
 
 
 def _features(rows: DataFrame, weights: dict[str, float]) -> DataFrame:
-    schema = pa.schema([("a", pa.float64()), ("b", pa.float64()), ("c", pa.float64()), ("toxic", pa.int32())])
+    schema = pa.schema([("a", pa.float64()), ("b", pa.float64()), ("c", pa.float64()), ("toxic", pa.int32()), ("at", pa.int64())])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(weights)
         for batch in batches:
             if batch.num_rows:
                 found = [matcher.features(t) for t in texts(batch)]
-                yield batch_of(schema, *map(list, zip(*found, strict=True)), values(batch, "toxic"))
+                yield batch_of(schema, *map(list, zip(*found, strict=True)), values(batch, "toxic"), values(batch, "at"))
 
-    return rows.select("text", F.col("_toxic").cast("int").alias("toxic")).mapInArrow(
-        features, "a double, b double, c double, toxic int"
+    return rows.select("text", F.col("_toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("at")).mapInArrow(
+        features, "a double, b double, c double, toxic int, at long"
     )
 
 
