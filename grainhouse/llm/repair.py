@@ -26,7 +26,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from grainhouse.sources.store import Store
 
 SHARD_TOKENS = 1 << 19  # ids of a shard; a longer document is a shard of its own
 LEAST_COUNT = 8  # a rule must replace so many pairs
-LEAST_GAIN = 0.03  # rounds end when one shortens the sequence by a smaller share
+LEAST_GAIN = 0.05  # rounds end when one shortens the sequence by a smaller share
 END_ID = 2
 MEMO_WORDS = 800_000
 BATCH_CHARS = 2_000_000
@@ -60,10 +60,19 @@ def _choose(keys: np.ndarray, counts: np.ndarray, base: int) -> np.ndarray:
     return keys[np.sort(chosen)] if chosen else keys[:0]
 
 
+def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids in order, and the place of each id among them."""
+    if not len(ids) or int(ids.max()) >= 1 << 22:
+        alphabet, flat = np.unique(ids, return_inverse=True)
+        return alphabet, flat.astype(np.int64)
+    seen = np.zeros(int(ids.max()) + 1, bool)
+    seen[ids] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[ids]
+
+
 def compress(ids: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
     """Re-Pair over documents of the given sizes that lie on end: alphabet, rules, lengths, symbols, doc_symbols."""
-    alphabet, flat = np.unique(ids, return_inverse=True)
-    flat = flat.astype(np.int64)
+    alphabet, flat = _ranked(ids)
     last = np.zeros(len(flat), bool)
     last[np.cumsum(sizes)[sizes > 0] - 1] = True
     rules, n = [np.empty((0, 2), np.int64)], len(alphabet)
@@ -201,20 +210,25 @@ class WordEncoder:
         self.memo_from = self.memo_size = np.empty(0, np.int64)
         self.memo_ids = np.empty(0, np.uint32)
 
+    def _learn(self, new: list[str]) -> None:
+        found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new)), strict=True))
+        self.memo_from = np.concatenate([self.memo_from, len(self.memo_ids) + np.cumsum(counts) - counts])
+        self.memo_size = np.concatenate([self.memo_size, counts])
+        self.memo_ids = np.concatenate([self.memo_ids, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))])
+
     def encode(self, batch: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts on end, each with the end id; ids of each)."""
         cut = [self.words(t) for t in batch]
         if len(self.memo) > MEMO_WORDS:
             self._forget()
-        if new := list(set().union(*cut).difference(self.memo)):
-            found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new)), strict=True))
-            self.memo_from = np.concatenate([self.memo_from, len(self.memo_ids) + np.cumsum(counts) - counts])
-            self.memo_size = np.concatenate([self.memo_size, counts])
-            self.memo_ids = np.concatenate([self.memo_ids, np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum()))])
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        flat = [*chain.from_iterable(cut)]
+        at = np.fromiter(map(self.memo.get, flat, repeat(-1)), np.int64, len(flat))
+        if len(unknown := np.flatnonzero(at < 0)):
+            self._learn([*{flat[k] for k in unknown.tolist()}])
+            at[unknown] = [self.memo[flat[k]] for k in unknown.tolist()]
         size = self.memo_size[at]
         # the end id is one more run behind the words of each text
         ends = np.cumsum(counts)
