@@ -21,6 +21,7 @@ from grainhouse.sources.store import Store
 WEIGHTS = (3, 1, 2)  # of the sources by code point, repeating; null last
 SHARE = 1.5  # words of the mix, as a multiple of all words
 MOST = 2  # times that a document may be taken
+KNAPSACK_WORDS = 50_000  # of a budget are left to the knapsack, at most (or one length more)
 SEED = 20240607
 _BUCKET_SHIFT = 54  # a length of very many documents is ranked in 2^(64 - 54) parts of the hash range
 
@@ -56,15 +57,14 @@ def fill(counts: dict[int, int], budget: int) -> dict[int, int]:
         return counts
     taken = {length: n * budget // total for length, n in counts.items()}
     left = budget - sum(length * n for length, n in taken.items())
-    for length in sorted(counts, key=lambda x: (-(counts[x] * budget % total), -x)):
-        if length <= left and taken[length] < counts[length]:
+    order = sorted(counts, key=lambda x: (-(counts[x] * budget % total), -x))
+    for length in order:
+        if left > KNAPSACK_WORDS and taken[length] < counts[length] and length <= left:
             taken[length] += 1
             left -= length
     # bounded knapsack over bits: bit s of ``reach`` says that s words can be made; counts are split into powers of two
     reach, steps, mask = 1, [], (1 << (left + 1)) - 1
-    for length in sorted(counts):
-        if reach >> left & 1 or length > left:
-            break
+    for length in order:
         rest, part = counts[length] - taken[length], 1
         while rest > 0 and part * length <= left and not reach >> left & 1:
             part = min(part, rest)
