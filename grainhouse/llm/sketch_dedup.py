@@ -6,9 +6,9 @@ elements meet one bin after the other, so every bin fills, also for a set of one
 probability of their Jaccard similarity, concentrated like independent samples.
 
 ``ROWS`` coordinates make a band. Equal sets are one node of the graph. Nodes that share a band meet in a bucket; a bucket never
-lists all its pairs. Each round picks centres, nodes of a bucket's smallest components, doubling their number, and compares them with the
-members of other components; a centre then leaves its bucket. The loop ends when no bucket holds two components, so every pair
-that shares a band has been compared or is connected already. Pairs whose sketches agree too little are out of
+lists all its pairs. First each node is compared with the smallest node around. Then each round picks centres, nodes of a bucket's smallest components, four times
+as many as before, and compares them with the members of other components; a centre then leaves its bucket. The loop ends
+when no bucket holds two components, so every pair that shares a band has been compared or is connected already. Pairs whose sketches agree too little are out of
 reach of the threshold (six standard deviations); all others are confirmed on their full sets of 64-bit shingle hashes.
 """
 
@@ -32,8 +32,8 @@ ROWS = 5
 BANDS = 25
 COORDINATES = ROWS * BANDS
 LEAST_AGREEING = 66  # percent of the sketch; 0.85 less six standard deviations of 125 coordinates
-BATCH_CHARS = 1_000_000
-MEMO_WORDS = 500_000
+BATCH_CHARS = 500_000
+MEMO_WORDS = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -121,13 +121,20 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, fields)
 
 
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """Each node with one other: the smallest of the centres (smallest nodes) of its buckets."""
+    centres = members.groupBy("bucket").agg(F.min("node").alias("a"))
+    met = members.join(centres, "bucket").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
+    return met.where(F.col("a") != F.col("b")).select("a", "b")
+
+
 def _centres(members: DataFrame, labels: DataFrame, many: int) -> tuple[DataFrame, DataFrame]:
     """(pairs to compare, members that stay) of buckets that hold several components.
 
     The centres of a bucket are its first ``many`` nodes, those of its smallest components first. They are compared with every member
     of another component and then leave the bucket.
     """
-    held = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    held = members.join(labels, "node")
     sizes = held.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("_size"))
     open_ = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
     held = held.join(open_, "bucket")
@@ -140,6 +147,14 @@ def _centres(members: DataFrame, labels: DataFrame, many: int) -> tuple[DataFram
     return pairs, rest.select("bucket", "node")
 
 
+def _merged(labels: DataFrame, links: DataFrame, store: Store, name: str) -> DataFrame:
+    """Labels (node, component) after new links between nodes; only components that links join are searched."""
+    ends = [labels.withColumnsRenamed({"node": side, "component": f"_{side}"}) for side in ("a", "b")]
+    edges = links.join(ends[0], "a").join(ends[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    moved = connected_components(edges, store, name).withColumnsRenamed({"node": "component", "component": "_to"})
+    return labels.join(moved, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+
+
 def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose sketches agree in ``LEAST_AGREEING`` percent."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -210,29 +225,26 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
     members = store.overwrite(rows.join(shared, "bucket"), "members_0")
 
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "a binary, b binary")
-    labels = spark.createDataFrame([], "node binary, component binary")
-    k = 0
+    labels = nodes.select("node", F.col("node").alias("component"))
+    pairs, done, k = _first_pairs(members), None, 0
     while True:
-        pairs, rest = _centres(members, labels, 1 << k)
         pairs = store.overwrite(pairs, f"pairs_{k}")
-        if pairs.isEmpty():
+        if not pairs.isEmpty():
+            plausible = store.overwrite(_plausible(pairs, nodes), f"plausible_{k}")
+            ends = plausible.select(F.col("a").alias("node")).union(plausible.select("b")).distinct()
+            sets = store.overwrite(_full_sets(docs, nodes.select("node", "_doc_id").join(ends, "node")), f"sets_{k}")
+            links = store.overwrite(_confirm(plausible, sets), f"links_{k}")
+            if not links.isEmpty():
+                labels = store.overwrite(_merged(labels, links, store, f"components_{k}"), f"labels_{k}")
+            done = pairs if done is None else done.union(pairs)
+        if members.isEmpty():
             break
+        fresh, rest = _centres(members, labels, 4**k)
         members = store.overwrite(rest, f"members_{k + 1}")
-        plausible = store.overwrite(_plausible(pairs, nodes), f"plausible_{k}")
-        ends = plausible.select(F.col("a").alias("node")).union(plausible.select("b")).distinct()
-        sets = store.overwrite(_full_sets(docs, nodes.select("node", "_doc_id").join(ends, "node")), f"sets_{k}")
-        new = store.overwrite(_confirm(plausible, sets), f"links_{k}")
-        for name in (f"members_{k}", f"sets_{k}", f"pairs_{k}", f"plausible_{k}"):
-            store.remove(name)
-        if not new.isEmpty():
-            links = links.union(new)
-            labels = connected_components(links, store, f"components_{k}")
+        pairs = fresh if done is None else fresh.join(done, ["a", "b"], "left_anti")  # a pair can meet in several buckets
         k += 1
 
-    named = nodes.select("node", "_doc_id").join(labels, "node", "left")
-    named = named.select("node", "_doc_id", F.coalesce("component", "node").alias("component"))
+    named = nodes.select("node", "_doc_id").join(labels, "node")
     ids = named.groupBy("component").agg(F.min("_doc_id").alias("component_id"))
     named = store.overwrite(named.join(ids, "component").select("node", "component_id"), "named")
     out = found.select("doc_id", "n_shingles", "node").join(named, "node", "left")
