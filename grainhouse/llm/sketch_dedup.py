@@ -151,7 +151,7 @@ def _merged(labels: DataFrame, links: DataFrame, store: Store, name: str) -> Dat
     """Labels (node, component) after new links between nodes; only components that links join are searched."""
     ends = [labels.withColumnsRenamed({"node": side, "component": f"_{side}"}) for side in ("a", "b")]
     edges = links.join(ends[0], "a").join(ends[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    moved = connected_components(edges, store, name).withColumnsRenamed({"node": "component", "component": "_to"})
+    moved = connected_components(edges, store, name).select(F.col("node").alias("component"), F.col("component").alias("_to"))
     return labels.join(moved, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
 
 
