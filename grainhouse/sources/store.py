@@ -46,9 +46,9 @@ class Store:
         return (reader.schema(schema) if schema is not None else reader).parquet(self.path(name))
 
     def exists(self, name: str) -> bool:
-        """True when the table was written completely."""
-        folder, marker = self._on_filesystem(f"{name}/_SUCCESS")
-        return folder.exists(marker)
+        """True when the table's folder holds data. Marker files do not count: object stores often go without them."""
+        files, path = self._on_filesystem(name)
+        return files.exists(path) and any(f.getPath().getName()[0] not in "_." for f in files.listStatus(path))
 
     def remove(self, name: str) -> None:
         """Delete a table that nothing reads any more."""
@@ -77,7 +77,8 @@ class Store:
     def ensure(self, name: str, schema: T.StructType) -> DataFrame:
         """Create an empty table unless it is there already."""
         if not self.exists(name):
-            self.overwrite(self.spark.createDataFrame([], schema), name)
+            # never replaces what is there: at worst an empty file joins it
+            self._write(self.spark.createDataFrame([], schema), name, "append", ())
         return self.read(name, schema)
 
     def _write(self, df: DataFrame, name: str, mode: str, partition_by: Sequence[str]) -> DataFrame:

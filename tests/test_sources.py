@@ -152,7 +152,10 @@ def test_rebuild_switches_only_after_its_gates(spark, raw, store):
     with pytest.raises(GateError, match="orphans"):
         rebuild(raw, store, "two")
     assert open_current(store)["fact_payments"].count() == 4
-    assert store.read("current").first()["run"] == "one"
+    assert [r["run"] for r in store.read("current").collect()] == ["one"]
+    with pytest.raises(FileExistsError):  # a live run is never built over
+        rebuild(raw, store, "one")
+    assert open_current(store)["fact_payments"].count() == 4
 
 
 def test_contract_reports_types_columns_and_lengths(spark, raw):
@@ -247,3 +250,17 @@ def test_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
 def test_shared_folder_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_folder(spark) == named.rstrip("/")
+
+
+def test_ensure_keeps_a_table_without_marker(spark, store, frame):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        rows = frame([(1, "a")], "k int, v string")
+        store.overwrite(rows, "plain")
+        assert store.ensure("plain", rows.schema).count() == 1
+        assert store.ensure("fresh", rows.schema).count() == 0
+        store.append(rows, "fresh", rows.schema)
+        assert store.ensure("fresh", rows.schema).count() == 1
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
