@@ -6,10 +6,13 @@ elements meet one bin after the other, so every bin fills, also for a set of one
 probability of their Jaccard similarity, concentrated like independent samples.
 
 ``ROWS`` coordinates make a band. Equal sets are one node of the graph. Nodes that share a band meet in a bucket; a bucket never
-lists all its pairs. Each round picks centres, nodes of a bucket's smallest components, doubling their number, and compares them with the
-members of other components; a centre then leaves its bucket. The loop ends when no bucket holds two components, so every pair
-that shares a band has been compared or is connected already. Pairs whose sketches agree too little are out of
-reach of the threshold (six standard deviations); all others are confirmed on their full sets of 64-bit shingle hashes.
+lists all its pairs. Each round picks centres, nodes of a bucket's smallest components and among them those with the most company,
+doubling their number, and compares them with the members of other components; a centre then leaves its bucket. From the second
+round on, a node that is a centre anywhere is one in all its buckets, a pair is compared in the first bucket that it ever shared,
+and nodes with too many shingles that no other node has leave the buckets where they cannot reach the threshold. The loop ends
+when no bucket holds two components, so every pair that shares a band has been compared, is out of reach or is connected already.
+Pairs whose sketches agree too little are out of reach of the threshold (six standard deviations); all others are confirmed on
+their full sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -121,23 +124,71 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, fields)
 
 
-def _centres(members: DataFrame, labels: DataFrame, many: int) -> tuple[DataFrame, DataFrame]:
+def _several(held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, component sizes) of buckets that hold several components."""
+    sizes = held.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("_size"))
+    open_ = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
+    return held.join(open_, "bucket"), sizes
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``held`` that may still have a link in their bucket, with ``_size_of`` and ``_known`` of their sets and ``_buckets``.
+
+    A pair of sets of n and m shingles is linked if they share at least PERCENT / (100 + PERCENT) of n + m. A set shares no
+    shingle that is in no other set here, and no partner is smaller than the smallest set of the bucket.
+    """
+    schema = pa.schema([("node", pa.binary()), ("shingle", pa.int64())])
+
+    def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(s, np.int64) for s in values(batch, "shingles")]
+            for start, end in runs(map(len, found), BATCH_CHARS):
+                owner = np.repeat(np.arange(start, end), [*map(len, found[start:end])])
+                yield batch_of(schema, batch.column("node").take(pa.array(owner)), pa.array(np.concatenate(found[start:end])))
+
+    live = sets.join(held.select("node").distinct(), "node", "left_semi")
+    owners = live.select("node", "shingles").mapInArrow(one_by_one, "node binary, shingle long")
+    owners = owners.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("_n"))
+    alone = owners.where("_n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("_alone"))
+    size = (F.length("shingles") / 8).cast("long")
+    known = live.select("node", size.alias("_size_of")).join(alone, "node", "left")
+    known = known.select("node", "_size_of", (F.col("_size_of") - F.coalesce("_alone", F.lit(0))).alias("_known"))
+    held = held.join(known.join(places.select("node", "_buckets"), "node"), "node")
+    least = held.groupBy("bucket").agg(F.min("_size_of").alias("_least"))
+    reach = (100 + PERCENT) * F.col("_known") >= PERCENT * (F.col("_size_of") + F.col("_least"))
+    return held.join(least, "bucket").where(reach).drop("_least")
+
+
+def _centres(held: DataFrame, many: int) -> tuple[DataFrame, DataFrame]:
     """(pairs to compare, members that stay) of buckets that hold several components.
 
     The centres of a bucket are its first ``many`` nodes, those of its smallest components first. They are compared with every member
     of another component and then leave the bucket.
     """
-    held = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = held.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("_size"))
-    open_ = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
-    held = held.join(open_, "bucket")
-    place = Window.partitionBy("bucket").orderBy("_size", "node")  # cut to ``many`` rows a bucket before the shuffle
+    held, sizes = _several(held)
+    place = Window.partitionBy("bucket").orderBy("_size", F.desc("_weight"), "node")  # cut to ``many`` rows before the shuffle
     first = held.join(sizes, ["bucket", "component"]).withColumn("_place", F.row_number().over(place))
-    first = first.where(F.col("_place") <= many).select("bucket", F.col("node").alias("_centre"), F.col("component").alias("_own"))
-    pairs = held.join(first, "bucket").where(F.col("component") != F.col("_own"))
-    pairs = pairs.select(F.least("_centre", "node").alias("a"), F.greatest("_centre", "node").alias("b")).distinct()
-    rest = held.join(first.select("bucket", F.col("_centre").alias("node")), ["bucket", "node"], "left_anti")
-    return pairs, rest.select("bucket", "node")
+    first = first.where(F.col("_place") <= many)
+    a, b = F.least("_centre", "node").alias("a"), F.greatest("_centre", "node").alias("b")
+    if "_buckets" not in held.columns:
+        first = first.select("bucket", F.col("node").alias("_centre"), F.col("component").alias("_own"))
+        pairs = held.join(first, "bucket").where(F.col("component") != F.col("_own")).select(a, b).distinct()
+        rest = held.join(first.select("bucket", F.col("_centre").alias("node")), ["bucket", "node"], "left_anti")
+        return pairs, rest.select("bucket", "node", "_weight")
+    marks = first.select("node", F.lit(True).alias("_is_centre")).distinct()
+    held = held.join(marks, "node", "left").withColumn("_is_centre", F.col("_is_centre").isNotNull())
+    own = {"node": "_centre", "component": "_own", "_size_of": "_own_size", "_known": "_own_known", "_buckets": "_own_buckets"}
+    centres = held.where("_is_centre").select("bucket", *own).withColumnsRenamed(own)
+    reach = (100 + PERCENT) * F.least("_known", "_own_known") >= PERCENT * (F.col("_size_of") + F.col("_own_size"))
+    # a pair belongs to the first bucket that it ever shared: where one of them is no longer there, the pair is settled
+    once = F.col("bucket") == F.array_min(F.array_intersect("_buckets", "_own_buckets"))
+    twice = F.col("_is_centre") & (F.col("node") < F.col("_centre"))
+    pairs = held.join(centres, "bucket").where((F.col("component") != F.col("_own")) & reach & ~twice & once)
+    return pairs.select(a, b), held.where("not _is_centre").select("bucket", "node", "_weight")
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -207,24 +258,34 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
     nodes = store.overwrite(nodes, "nodes")
     rows = nodes.select("node", F.posexplode("bands").alias("_band", "_key"))
     rows = rows.select("node", F.xxhash64("_band", "_key").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
-    members = store.overwrite(rows.join(shared, "bucket"), "members_0")
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    places = rows.join(shared, "bucket").groupBy("node").agg(F.sum("_n").alias("_weight"), F.collect_set("bucket").alias("_buckets"))
+    places = store.overwrite(places, "places")
+    members = store.overwrite(places.select(F.explode("_buckets").alias("bucket"), "node", "_weight"), "members_0")
+
+    def sets_of(ends: DataFrame, name: str) -> DataFrame:
+        return store.overwrite(_full_sets(docs, nodes.select("node", "_doc_id").join(ends, "node")), name)
 
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a binary, b binary")
     labels = spark.createDataFrame([], "node binary, component binary")
-    k = 0
+    k, sets = 0, None
     while True:
-        pairs, rest = _centres(members, labels, 1 << k)
+        held = _labelled(members, labels)
+        if k:
+            held = store.overwrite(_several(held)[0], f"open_{k}")
+            if held.isEmpty():
+                break
+            if sets is None:  # of all nodes that are left, for this round and the later ones
+                sets = sets_of(held.select("node").distinct(), "sets")
+            held = store.overwrite(_within_reach(held, sets, places), f"held_{k}")
+        pairs, rest = _centres(held, 1 << k)
         pairs = store.overwrite(pairs, f"pairs_{k}")
-        if pairs.isEmpty():
-            break
         members = store.overwrite(rest, f"members_{k + 1}")
         plausible = store.overwrite(_plausible(pairs, nodes), f"plausible_{k}")
-        ends = plausible.select(F.col("a").alias("node")).union(plausible.select("b")).distinct()
-        sets = store.overwrite(_full_sets(docs, nodes.select("node", "_doc_id").join(ends, "node")), f"sets_{k}")
-        new = store.overwrite(_confirm(plausible, sets), f"links_{k}")
-        for name in (f"members_{k}", f"sets_{k}", f"pairs_{k}", f"plausible_{k}"):
+        full = sets if sets is not None else sets_of(plausible.select(F.col("a").alias("node")).union(plausible.select("b")).distinct(), f"sets_{k}")
+        new = store.overwrite(_confirm(plausible, full), f"links_{k}")
+        for name in (f"members_{k}", f"sets_{k}", f"open_{k}", f"held_{k}", f"pairs_{k}", f"plausible_{k}"):
             store.remove(name)
         if not new.isEmpty():
             links = links.union(new)
