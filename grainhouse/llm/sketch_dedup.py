@@ -163,23 +163,26 @@ def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame) -> DataFr
     return held.join(least, "bucket").where(reach).drop("_least")
 
 
-def _centres(held: DataFrame, many: int) -> tuple[DataFrame, DataFrame]:
+def _centres(held: DataFrame, many: int, store: Store, name: str) -> tuple[DataFrame, DataFrame]:
     """(pairs to compare, members that stay) of buckets that hold several components.
 
     The centres of a bucket are its first ``many`` nodes, those of its smallest components first. They are compared with every member
     of another component and then leave the bucket.
     """
-    held, sizes = _several(held)
+    if "_buckets" in held.columns:
+        several, sizes = _several(held)
+        first = several.join(sizes, ["bucket", "component"])
+    else:  # the first round, where every node is a component
+        first = held.withColumn("_size", F.lit(1))
     place = Window.partitionBy("bucket").orderBy("_size", F.desc("_weight"), "node")  # cut to ``many`` rows before the shuffle
-    first = held.join(sizes, ["bucket", "component"]).withColumn("_place", F.row_number().over(place))
-    first = first.where(F.col("_place") <= many)
+    first = first.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= many)
+    first = store.overwrite(first.select("bucket", F.col("node").alias("_centre"), F.col("component").alias("_own")), name)
     a, b = F.least("_centre", "node").alias("a"), F.greatest("_centre", "node").alias("b")
     if "_buckets" not in held.columns:
-        first = first.select("bucket", F.col("node").alias("_centre"), F.col("component").alias("_own"))
         pairs = held.join(first, "bucket").where(F.col("component") != F.col("_own")).select(a, b).distinct()
         rest = held.join(first.select("bucket", F.col("_centre").alias("node")), ["bucket", "node"], "left_anti")
         return pairs, rest.select("bucket", "node", "_weight")
-    marks = first.select("node", F.lit(True).alias("_is_centre")).distinct()
+    marks = first.select(F.col("_centre").alias("node"), F.lit(True).alias("_is_centre")).distinct()
     held = held.join(marks, "node", "left").withColumn("_is_centre", F.col("_is_centre").isNotNull())
     own = {"node": "_centre", "component": "_own", "_size_of": "_own_size", "_known": "_own_known", "_buckets": "_own_buckets"}
     centres = held.where("_is_centre").select("bucket", *own).withColumnsRenamed(own)
@@ -271,21 +274,21 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
     labels = spark.createDataFrame([], "node binary, component binary")
     k, sets = 0, None
     while True:
-        held = _labelled(members, labels)
+        held = members.withColumn("component", F.col("node"))
         if k:
-            held = store.overwrite(_several(held)[0], f"open_{k}")
+            held = store.overwrite(_several(_labelled(members, labels))[0], f"open_{k}")
             if held.isEmpty():
                 break
             if sets is None:  # of all nodes that are left, for this round and the later ones
                 sets = sets_of(held.select("node").distinct(), "sets")
             held = store.overwrite(_within_reach(held, sets, places), f"held_{k}")
-        pairs, rest = _centres(held, 1 << k)
+        pairs, rest = _centres(held, 1 << k, store, f"centres_{k}")
         pairs = store.overwrite(pairs, f"pairs_{k}")
         members = store.overwrite(rest, f"members_{k + 1}")
         plausible = store.overwrite(_plausible(pairs, nodes), f"plausible_{k}")
         full = sets if sets is not None else sets_of(plausible.select(F.col("a").alias("node")).union(plausible.select("b")).distinct(), f"sets_{k}")
         new = store.overwrite(_confirm(plausible, full), f"links_{k}")
-        for name in (f"members_{k}", f"sets_{k}", f"open_{k}", f"held_{k}", f"pairs_{k}", f"plausible_{k}"):
+        for name in (f"members_{k}", f"sets_{k}", f"open_{k}", f"held_{k}", f"centres_{k}", f"pairs_{k}", f"plausible_{k}"):
             store.remove(name)
         if not new.isEmpty():
             links = links.union(new)
