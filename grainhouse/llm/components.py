@@ -31,7 +31,7 @@ def connected_components(edges: DataFrame, store: Store, name: str) -> DataFrame
         near = least.select("node", F.least("node", "_least").alias("low"))
         # large star: larger neighbours move to the smallest node around
         moved = both.where(F.col("other") > F.col("node")).join(near, "node").select("low", F.col("other").alias("high"))
-        moved = moved.where(F.col("low") != F.col("high")).distinct()
+        moved = moved.where(F.col("low") != F.col("high"))  # at most one row an edge; the end of the step leaves each once
         # small star: smaller neighbours, and the node itself, move to the smallest of them
         least = moved.groupBy("high").agg(F.min("low").alias("_least"))
         pairs = moved.join(least, "high")

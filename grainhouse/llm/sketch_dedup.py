@@ -270,7 +270,6 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
         return store.overwrite(_full_sets(docs, nodes.select("node", "_doc_id").join(ends, "node")), name)
 
     spark = docs.sparkSession
-    links = spark.createDataFrame([], "a binary, b binary")
     labels = spark.createDataFrame([], "node binary, component binary")
     k, sets = 0, None
     while True:
@@ -291,8 +290,9 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
         for name in (f"members_{k}", f"sets_{k}", f"open_{k}", f"held_{k}", f"centres_{k}", f"pairs_{k}", f"plausible_{k}"):
             store.remove(name)
         if not new.isEmpty():
-            links = links.union(new)
-            labels = connected_components(links, store, f"components_{k}")
+            # the components so far are stars, which stand for the links that made them
+            stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = connected_components(stars.union(new), store, f"components_{k}")
         k += 1
 
     named = nodes.select("node", "_doc_id").join(labels, "node", "left")
