@@ -16,13 +16,13 @@ def collapse(df: DataFrame, by: Sequence[str], key: str, *values: Column) -> Dat
     return df.groupBy(*by, key).agg(*values)
 
 
-def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Percentage of the grand total beside every row.
+def share_of_total(df: DataFrame, value: str, name: str, whole: DataFrame | None = None) -> DataFrame:
+    """Percentage of the grand total beside every row; ``whole`` has the rows of the total where ``df`` lacks some of them.
 
     The total is a scalar subquery rather than a window over everything, which
     would run in one task; AQE lets it share the shuffles of ``df``.
     """
-    total = df.agg(F.sum(value)).scalar()
+    total = (df if whole is None else whole).agg(F.sum(value)).scalar()
     return df.withColumn(name, percent(F.col(value), total))
 
 

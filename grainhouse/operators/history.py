@@ -7,6 +7,7 @@ is an append.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -40,14 +41,25 @@ def scd2_apply(
     as_of: str,
     store: Store,
     table: str,
+    sequence: str | None = None,
 ) -> DataFrame:
     """Type 2 history: expire the current row of a changed key and add a version.
 
-    ``changes`` has one row per key with any of the attributes of ``dim``. A key
+    ``changes`` has any of the attributes of ``dim``. Of several rows for a key the
+    last by ``sequence`` counts; without a sequence column they are refused. A key
     whose tracked attributes are equal (NULLs included) stays as it is; a new key
     gets a first version. New versions copy untouched attributes and take
     surrogate keys after the highest one in use, in the order of the key.
+
+    The result is a written table of its own run, so that ``dim`` may be the
+    result of an earlier run with the same ``table``.
     """
+    if sequence is not None:
+        changes = latest_change(changes, key, sequence)
+    elif not changes.groupBy(key).count().where("count > 1").isEmpty():
+        raise ValueError(f"several changes for one {key}, and no column to order them by")
+    run = f"{table}-{as_of}-{uuid.uuid4().hex[:12]}"
+    work = Store(store.spark, store.path(f"{run}-work"))
     attributes = [c for c in dim.columns if c not in (key, surrogate, *HISTORY)]
     given = [c for c in attributes if c in changes.columns]
     day = F.lit(as_of).cast("date")
@@ -79,14 +91,16 @@ def scd2_apply(
     versions = (
         F.when(~known, F.array(fresh)).when(touched & differs, F.array(expired, fresh)).otherwise(F.array(as_is))
     )
-    moved = store.overwrite(both.select(key, F.explode(versions).alias("_v")).select(key, "_v.*"), f"{table}_versions")
+    moved = work.overwrite(both.select(key, F.explode(versions).alias("_v")).select(key, "_v.*"), "versions")
 
-    numbered = number_rows(moved.where(F.col(surrogate).isNull()).drop(surrogate), [key], "_n", store, f"{table}_new")
+    numbered = number_rows(moved.where(F.col(surrogate).isNull()).drop(surrogate), [key], "_n", work, "new")
     highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
     added = numbered.withColumn(surrogate, highest + F.col("_n"))
     kept = moved.where(F.col(surrogate).isNotNull())
     older = dim.where("NOT is_current")
-    return older.unionByName(kept.select(*dim.columns)).unionByName(added.select(*dim.columns))
+    stored = store.overwrite(older.unionByName(kept.select(*dim.columns)).unionByName(added.select(*dim.columns)), run)
+    work.clear()
+    return stored
 
 
 def high_water_mark(df: DataFrame, column: str) -> datetime.datetime | None:

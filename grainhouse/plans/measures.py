@@ -115,8 +115,10 @@ def category_sales(wh: Warehouse, by: Sequence[str] = ("category_name_english",)
 
 def net_share(wh: Warehouse, by: str = "category_group", only: Sequence[str] | None = None) -> DataFrame:
     """Net item revenue as a percentage of all products. ``only`` restricts the
-    groups shown, never the total they are measured against."""
-    shares = share_of_total(category_sales(wh, [by]), "items_revenue_net", "pct_net").drop("items_sold")
+    groups shown, never the total they are measured against. The total is that of
+    the item rows, so items without a product count in it."""
+    whole = net_items(wh).agg(money_sum("price").alias("items_revenue_net"))
+    shares = share_of_total(category_sales(wh, [by]), "items_revenue_net", "pct_net", whole).drop("items_sold")
     return shares if only is None else shares.where(F.col(by).isin(*only))
 
 

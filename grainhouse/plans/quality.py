@@ -212,7 +212,7 @@ def expected_counts(wh: Warehouse, expected: DataFrame) -> DataFrame:
     critical = [("customers", "customer_id"), ("orders", "order_id"), ("order_items", "order_id"), ("order_reviews", "review_id")]
     tables = ["customers", "geolocation", "orders", "order_items", "order_payments", "order_reviews", "products", "sellers", "category_translation"]
     loaded = union_all([_tagged(_count(wh[t], "actual"), check_name=t) for t in tables])
-    rows = loaded.join(F.broadcast(expected.withColumnRenamed("table_name", "check_name")), "check_name")
+    rows = loaded.join(expected.withColumnRenamed("table_name", "check_name"), "check_name")
     nulls = union_all(
         [
             _tagged(wh[t].agg(count_where(F.col(c).isNull()).alias("actual")), check_name=f"{t}.{c} is null").withColumn(

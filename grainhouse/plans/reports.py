@@ -239,7 +239,7 @@ def customer_payments(wh: Warehouse) -> DataFrame:
 def customer_items(wh: Warehouse, customers: DataFrame) -> DataFrame:
     """Item rows of the customers in a frame (customer_unique_id)."""
     wanted = with_match(wh.dim_customer, customers, "customer_unique_id")
-    return with_match(wh.fact_order_items, wanted, "customer_key").drop("fact_key", "purchase_year")
+    return with_match(wh.fact_order_items, wanted, "customer_key").drop("fact_key", YEAR, MONTH)
 
 
 def item_sample(wh: Warehouse, n: int = 10) -> DataFrame:

@@ -12,7 +12,7 @@ from grainhouse.operators import joins as j
 from grainhouse.operators.keys import number_within, percent_rank_weights
 from grainhouse.plans import layers
 from grainhouse.plans import measures as m
-from grainhouse.registry.measures import _MONEY, _NET
+from grainhouse.registry.measures import _MONEY, _NET, _NET_TOTAL
 from grainhouse.registry.oracle import case, mean, minutes, per
 
 _INT_MEAN = "CAST(trunc(CAST(SUM({0}) AS DOUBLE) / COUNT({0})) AS BIGINT)".format
@@ -453,7 +453,7 @@ QUERIES = {
     ),
     "ctx_ignore_filter": (
         filter_context,
-        f"""SELECT * FROM (SELECT category_group, items_revenue_net, {per("items_revenue_net", "SUM(items_revenue_net) OVER ()", 100)} AS pct_net
+        f"""SELECT * FROM (SELECT category_group, items_revenue_net, {per("items_revenue_net", _NET_TOTAL, 100)} AS pct_net
             FROM (SELECT category_group, CAST(SUM(price) AS {_MONEY}) AS items_revenue_net
                   FROM {_ITEM_ORDER} JOIN dim_product_grouped p ON f.product_key = p.product_key WHERE {_NET} GROUP BY category_group))
             WHERE category_group IN ('Home & Furniture', 'Electronics & Appliances')""",

@@ -70,7 +70,7 @@ def incremental(wh):
     """Items bought before the cut are loaded, but shipped orders come late. The
     next run takes everything after its mark, less the look-back."""
     shipped = wh.dim_order.where(F.col("order_status") == "shipped")
-    source = wh.fact_order_items.drop("fact_key", "purchase_year")
+    source = wh.fact_order_items.drop("fact_key", layers.YEAR, layers.MONTH)
     early = source.where(F.col("purchase_timestamp") < F.lit(CUT).cast("timestamp_ntz"))
     loaded = early.join(shipped.select("order_key"), "order_key", "left_anti")
     mark = high_water_mark(loaded, "purchase_timestamp")
@@ -91,7 +91,7 @@ def _old_model(wh):
         "order_key", F.col("delay_days").alias("delivery_delay_days"), F.col("actual_days").alias("actual_delivery_days")
     )
     dim_order = wh.dim_order.join(timing, "order_key", "left")
-    return dim_order, wh.fact_order_items.drop("delivered_date_key", "purchase_year")
+    return dim_order, wh.fact_order_items.drop("delivered_date_key", layers.YEAR, layers.MONTH)
 
 
 def schema_change(wh):

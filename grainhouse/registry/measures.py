@@ -8,6 +8,7 @@ from grainhouse.registry.oracle import band, case, mean, minutes, per
 
 _MONEY = "DECIMAL(38,2)"
 _NET = "order_status NOT IN ('canceled', 'unavailable')"
+_NET_TOTAL = f"(SELECT SUM(price) FROM fact_order_items JOIN dim_order USING (order_key) WHERE {_NET})"
 _BUCKET = case("actual_days", labels.DELIVERY_STEPS, labels.DELIVERY_REST, missing="N/A")
 _BUCKET_SORT = case("actual_days", labels.DELIVERY_STEPS, labels.DELIVERY_REST, missing="N/A", position=True)
 _PROMISE = "CASE WHEN delay_days > 0 THEN 'Broken' ELSE 'Kept' END"
@@ -51,7 +52,7 @@ QUERIES = {
     ),
     "m_net_share": (
         m.net_share,
-        f"""SELECT category_group, items_revenue_net, {per("items_revenue_net", "SUM(items_revenue_net) OVER ()", 100)} AS pct_net
+        f"""SELECT category_group, items_revenue_net, {per("items_revenue_net", _NET_TOTAL, 100)} AS pct_net
             FROM (SELECT category_group, CAST(SUM(price) AS {_MONEY}) AS items_revenue_net
                   FROM fact_order_items f JOIN dim_order d ON f.order_key = d.order_key
                   JOIN dim_product_grouped p ON f.product_key = p.product_key WHERE {_NET} GROUP BY category_group)""",

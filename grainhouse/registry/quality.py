@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from grainhouse.plans import quality as q
+from grainhouse.plans.layers import MONTH, YEAR
 from grainhouse.registry.oracle import band, mean, per
 from grainhouse.sources.schemas import DWH_SCHEMAS, GRAINS, LENGTHS, SRC_SCHEMAS, STG_SCHEMAS
 
@@ -65,7 +66,7 @@ def _plausibility(wh):
 
 def _contract(wh):
     names = [*SRC_SCHEMAS, *STG_SCHEMAS, *DWH_SCHEMAS]
-    return q.column_contract({n: wh[n].drop("purchase_year") for n in names}, wh.spark)
+    return q.column_contract({n: wh[n].drop(YEAR, MONTH) for n in names}, wh.spark)
 
 
 def _length_sql() -> str:

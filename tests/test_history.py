@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from conftest import rows_of
 
 from grainhouse.operators.history import high_water_mark, increment, latest_change, scd2_apply, start_history
@@ -35,7 +36,7 @@ def test_scd2_changed_unchanged_new_and_null(frame, store):
 
     # a second change expires only the current version and copies from it
     again = scd2_apply(
-        once, frame([("a", "RECIFE")], "seller_id string, city string"), "seller_id", "seller_key", ["city"], "2019-01-01", store, "two"
+        once, frame([("a", "RECIFE")], "seller_id string, city string"), "seller_id", "seller_key", ["city"], "2019-01-01", store, "one"
     )
     of_a = [v for v in versions(again) if v[0] == "a"]
     assert [(v[1], v[2], v[6]) for v in sorted(of_a, key=lambda v: v[1])] == [(1, "RIO", False), (5, "SANTOS", False), (8, "RECIFE", True)]
@@ -43,11 +44,24 @@ def test_scd2_changed_unchanged_new_and_null(frame, store):
 
     # replaying the same change set changes nothing
     replay = scd2_apply(
-        again, frame([("a", "RECIFE")], "seller_id string, city string"), "seller_id", "seller_key", ["city"], "2019-02-01", store, "three"
+        again, frame([("a", "RECIFE")], "seller_id string, city string"), "seller_id", "seller_key", ["city"], "2019-02-01", store, "one"
     )
     assert versions(replay) == versions(again)
 
 
+def test_repeated_keys_are_ordered_or_refused(frame, store):
+    dim = start_history(frame([(1, "a", "RIO")], "seller_key long, seller_id string, city string"), "2016-01-01")
+    changes = frame([("a", "X", 1), ("a", "Y", 2)], "seller_id string, city string, seq int")
+
+    def apply(**how):
+        return scd2_apply(dim, changes, "seller_id", "seller_key", ["city"], "2018-01-01", store, "repeated", **how)
+
+    with pytest.raises(ValueError):
+        apply()
+    rows = rows_of(apply(sequence="seq").select("seller_key", "city", "is_current"))
+    assert rows == [(1, "RIO", False), (2, "Y", True)]
+
+
 def test_latest_of_several_changes_wins(frame):
     changes = frame([("a", "X", 1), ("a", None, 2), ("b", "Y", 1)], "seller_id string, city string, seq int")
     assert rows_of(latest_change(changes, "seller_id", "seq")) == [("a", None), ("b", "Y")]

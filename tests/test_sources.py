@@ -5,8 +5,10 @@ import decimal
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from grainhouse.plans.layers import calendar_between, stg_products
+from grainhouse.plans.measures import net_share
 from grainhouse.plans.quality import column_contract, column_list, gates, schema_issues
 from grainhouse.plans.rebuild import GateError, migrate_delivery_timing, open_current, rebuild
 from grainhouse.plans.warehouse import RawTables, Warehouse
@@ -126,6 +128,12 @@ def test_warehouse_of_the_fixture(raw, store):
     assert {r.product_id: r.category_name_english for r in wh.dim_product.collect()} == {"a": "toys", "b": "Unknown", "c": "raro"}
 
 
+def test_share_counts_items_without_a_product(spark, raw, store):
+    raw.products = spark.createDataFrame(TABLES["products"][1:], SRC_SCHEMAS["products"])  # 40.00 of 45.00 have none
+    shares = net_share(Warehouse(raw, store), by="category_name_english")
+    assert rows_of(shares.select("category_name_english", F.col("pct_net").cast("double"))) == [("Unknown", 0.0), ("raro", 11.111111)]
+
+
 def test_gates_pass_and_name_what_fails(spark, raw, store):
     assert all(r.failures == 0 for r in gates(Warehouse(raw, Store(spark, store.path("good")))).collect())
     lost = TABLES["order_payments"] + [("nowhere", 1, "boleto", 1, D("1.00"))]
