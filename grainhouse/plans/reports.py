@@ -28,6 +28,8 @@ from grainhouse.plans import measures as m
 from grainhouse.plans.layers import MONTH, YEAR
 from grainhouse.plans.warehouse import Warehouse
 
+RATIO = "decimal(28,16)"  # ratios are summed exactly, whatever the order of partitions
+
 def between_dates(df: DataFrame, first: str | None = None, last: str | None = None, role: str = "purchase") -> DataFrame:
     """Keep a window of days, both included, given as yyyy-mm-dd.
 
@@ -293,7 +295,7 @@ def freight_share(wh: Warehouse) -> DataFrame:
     The share is the mean of item ratios, not the ratio of means; items priced
     zero have none.
     """
-    share = safe_div(F.col("freight_value").cast("double"), F.col("price").cast("double"))
+    share = safe_div(F.col("freight_value").cast("double"), F.col("price").cast("double")).cast(RATIO)
     per_product = wh.fact_order_items.groupBy("product_key").agg(
         F.sum("price").alias("price"),
         F.count("price").alias("prices"),
@@ -540,11 +542,11 @@ def cliff(wh: Warehouse, span: int = 25, min_orders: int = 30) -> DataFrame:
     scored = (
         _reviewed(wh)
         .where(F.col("delay_days").between(-span, span))
-        .withColumn("score", F.col("review_total") / F.col("reviews"))
+        .withColumn("score", (F.col("review_total") / F.col("reviews")).cast(RATIO))
     )
     return (
         scored.groupBy("delay_days")
-        .agg(F.round(F.avg("score"), 6).alias("mean_score"), F.count(F.lit(1)).alias("orders"))
+        .agg(mean("score").alias("mean_score"), F.count(F.lit(1)).alias("orders"))
         .where(F.col("orders") >= min_orders)
         .orderBy("delay_days")
     )
