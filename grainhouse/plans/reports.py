@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,10 +113,15 @@ def weekday_revenue(wh: Warehouse) -> DataFrame:
 
 
 def _month_days(wh: Warehouse, month: int, years: Sequence[int]) -> DataFrame:
-    """Daily revenue of one month in the given years; other years are not read."""
-    first, last = f"{min(years)}-{month:02d}-01", f"{max(years)}-{month:02d}-31"
-    days = _daily(wh, "year", "month", orders=between_dates(wh.orders, first, last))
-    return days.where((F.col("month") == month) & F.col("year").isin(*years))
+    """Daily revenue of one month in the given years; other years are not read,
+    nor other months where the orders are partitioned by month."""
+    months = [year * 100 + month for year in years]
+    key = F.col("purchase_date_key")
+    orders = wh.orders.where(reduce(Column.__or__, [key.between(ym * 100 + 1, ym * 100 + 31) for ym in months]))
+    for column, wanted in ((YEAR, list(years)), (MONTH, months)):
+        if column in orders.columns:
+            orders = orders.where(F.col(column).isin(*wanted))
+    return _daily(wh, "year", "month", orders=orders)
 
 
 def month_daily(wh: Warehouse, month: int, years: Sequence[int]) -> DataFrame:

@@ -50,6 +50,15 @@ def test_reports_push_date_bounds_and_prune_partitions(spark, warehouse):
     assert "LessThanOrEqual(purchase_date_key,19961231)" in text
 
 
+def test_month_reports_read_their_months_only(spark, warehouse):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    text = plan(reports.month_daily(warehouse, 5, [1995, 1998]))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    partitions = [part.split("]")[0] for part in text.split("PartitionFilters: [")[1:]]
+    assert any("purchase_year" in p and "IN (1995,1998)" in p for p in partitions)
+    assert "LessThanOrEqual(purchase_date_key,19950531)" in text and "GreaterThanOrEqual(purchase_date_key,19980501)" in text
+
+
 def test_order_level_reports_read_one_narrow_table(warehouse):
     text = plan(measures.late_orders(warehouse))
     assert text.count("FileScan") == 1 and "items_revenue" not in text
