@@ -266,6 +266,37 @@ def test_cross_entropy_difference(spark, documents):
         assert r.score == pytest.approx(expected[0] - expected[1], abs=1e-4)
 
 
+def test_every_repeated_word_is_in_the_model(spark, documents, monkeypatch):
+    monkeypatch.setattr(lm_difference, "CHUNK_TOKENS", 2000)
+    filler = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(filler[k : k + 300] * 4) for k in range(0, 3000, 300)]
+    texts += ["the quark is here"] * 3 + ["the sport is here"] * 3 + ["once seen qqq", "", None]
+    target = {0, 3, 10, 11, 12}
+    docs, ids = documents(texts), spark.createDataFrame([(k,) for k in target], "doc_id long")
+    tokens = [lm_difference.tokens(t or "") for t in texts]
+    counts = Counter(w for ws in tokens for w in ws)
+    vocabulary = lm_difference.Vocabulary([w for w in counts if counts[w] >= 2])
+    size, d = lm_difference.CLASSES + len(vocabulary.ids), lm_difference.DISCOUNT
+    steps = [[*zip(s, s[1:], strict=False)] for s in (vocabulary.encode(t or "").tolist() for t in texts)]
+    tables = [Counter(p for k, s in enumerate(steps) if k in target for p in s), Counter(p for s in steps for p in s)]
+    scale = tables[0].total() / tables[1].total()
+    losses = []
+    for table, by in zip(tables, (1.0, scale), strict=True):
+        row, column, kept = Counter(), Counter(), Counter()
+        for (a, b), n in table.items():
+            row[a] += n * by
+            column[b] += n * by
+            kept[a] += max(n * by - d, 0)
+        whole = sum(row.values()) + size
+        spare = {a: (row[a] - kept[a]) / row[a] for a in row}
+        losses.append([sum(-math.log((max(table[a, b] * by - d, 0) / row[a] if row[a] else 0) + spare.get(a, 1.0) * (column[b] + 1) / whole) for a, b in s) / len(s) for s in steps])
+    found = by_id(lm_difference.score_documents(docs, ids))
+    assert size > lm_difference.SYMBOLS and len(found) == len(texts)
+    for k, r in found.items():
+        assert (r.n_tokens, r.target_loss, r.background_loss) == pytest.approx((len(steps[k]), losses[0][k], losses[1][k]), rel=1e-9)
+    assert found[10].score < found[13].score - 0.1  # they differ in one word below the 2,015 most frequent ones
+
+
 # --- 7 mixing
 
 
