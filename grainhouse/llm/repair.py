@@ -2,8 +2,9 @@
 
 Documents are range partitioned by id and cut into shards of about ``SHARD_TOKENS`` ids. Within a shard, rounds replace frequent
 pairs of neighbouring symbols by new symbols. A round takes the most frequent pairs of which none begins with a symbol that
-another one ends with: their occurrences cannot overlap, so all are replaced at once. No pair crosses the end of a document, so
-every document is a run of symbols of its own and can be decoded alone.
+another one ends with: their occurrences cannot overlap, so all are replaced at once. A pair of equal symbols takes alternate places
+of a run, and its symbol is in no other pair of the round. Rounds go on until no pair occurs ``LEAST_COUNT`` times. No pair crosses
+the end of a document, so every document is a run of symbols of its own and can be decoded alone.
 
 File format, one Parquet row per shard, in ascending order of documents (all arrays little-endian):
 
@@ -38,8 +39,7 @@ from grainhouse.llm.common import batch_of, runs, texts, values
 from grainhouse.sources.store import Store
 
 SHARD_TOKENS = 1 << 19  # ids of a shard; a longer document is a shard of its own
-LEAST_COUNT = 8  # a rule must replace so many pairs
-LEAST_GAIN = 0.05  # rounds end when one shortens the sequence by a smaller share
+LEAST_COUNT = 2  # a rule must replace so many pairs
 END_ID = 2
 MEMO_WORDS = 800_000
 BATCH_CHARS = 2_000_000
@@ -49,11 +49,11 @@ BATCH_CHARS = 2_000_000
 
 
 def _choose(keys: np.ndarray, counts: np.ndarray, base: int) -> np.ndarray:
-    """The most frequent pairs such that no symbol both begins one and ends one."""
+    """The most frequent pairs such that no symbol both begins one and ends one, but for pairs of a symbol that is in no other."""
     order = np.argsort(-counts, kind="stable")
     begins, ends, chosen = set(), set(), []
     for k, a, b in zip(order.tolist(), (keys[order] // base).tolist(), (keys[order] % base).tolist(), strict=True):
-        if a != b and a not in ends and b not in begins:
+        if a not in ends and b not in begins and (a != b or (a not in begins and b not in ends)):
             begins.add(a)
             ends.add(b)
             chosen.append(k)
@@ -80,6 +80,10 @@ def compress(ids: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
         base = n + 1
         keys = flat[:-1] * base + flat[1:]
         inside = ~last[:-1]
+        # of a run of equal symbols every other pair, so that no occurrence overlaps another one
+        same = np.flatnonzero(inside & (flat[:-1] == flat[1:]))
+        first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
+        inside[same[(same - np.repeat(same[first], np.diff(np.append(first, len(same))))) % 2 == 1]] = False
         narrow = np.uint32 if base < 1 << 16 else np.int64
         ordered = np.sort(keys[inside].astype(narrow))
         at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, np.int64)
@@ -99,10 +103,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
         last[found] = last[found + 1]
         stays = np.ones(len(flat), bool)
         stays[found + 1] = False
-        gain = len(found) / len(flat)
         flat, last, n = flat[stays], last[stays], n + len(chosen)
-        if gain < LEAST_GAIN:
-            break
     ends = np.flatnonzero(last) + 1
     runs_ = np.zeros(len(sizes), np.int64)
     runs_[sizes > 0] = np.diff(np.append(0, ends))

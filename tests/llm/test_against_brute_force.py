@@ -109,6 +109,26 @@ def test_grammar_round_trip_and_random_access(seed):
     assert len(made["rules"]) > 3 and len(made["symbols"]) < len(ids) / 2
 
 
+def test_no_repeated_pair_is_left():
+    rng = np.random.default_rng(3)
+    sizes = np.array([0, 4000, 1, 5000, 3, 700])
+    ids = rng.choice(40, sizes.sum(), p=np.arange(1, 41) / 820).astype(np.uint32)
+    ids[4001:9001] = 7  # a long text of one repeated id
+    made = repair.compress(ids, sizes)
+    ends = np.cumsum(made["doc_symbols"])
+    left = Counter()
+    for a, b in zip(ends - made["doc_symbols"], ends, strict=True):
+        run, k = made["symbols"][a:b].tolist(), 0
+        while k < len(run) - 1:
+            left[run[k], run[k + 1]] += 1
+            k += 2 if run[k : k + 3] == [run[k]] * 3 else 1
+    assert max(left.values()) == 1
+    assert made["doc_symbols"][3] <= 13  # 5000 equal ids
+    row = {k: v.tobytes() for k, v in made.items()} | {"width": made["symbols"].itemsize, "doc_tokens": sizes.astype("<i8").tobytes()}
+    shard = repair.Shard(row | {"doc_ids": np.arange(6).astype("<i8").tobytes(), "has_id": np.ones(6, "u1").tobytes()})
+    assert np.array_equal(np.concatenate([shard.ids(k) for k in range(6)]), ids)
+
+
 # --- 3 toxicity
 
 
