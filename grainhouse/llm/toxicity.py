@@ -32,8 +32,6 @@ EXCEPTIONS = ("trash can", "trash cans", "trash bin", "clown fish", "class clown
 STEMS = range(3, 7)  # letters of a word beginning
 LEAST_TOXIC = 5  # toxic training rows that must hold a term
 LEAST_WEIGHT = 1.0
-CANDIDATES = 20_000  # terms held in most toxic rows, whose clean rows are counted
-TERMS = 2_000  # size of the lexicon
 FIT_ROWS = 50_000  # rows the logistic curve is fitted on, at most
 FLUSH = 200_000  # counts a task holds before it sends them on
 
@@ -112,23 +110,33 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(found @ np.array(self.curve[:-1]) + self.curve[-1], -30, 30)))
 
 
-def _count(rows: DataFrame, kept: frozenset[str] | None) -> DataFrame:
-    """(term, rows): how many texts hold each term, of ``kept`` or all, summed in each task first."""
+def _count(rows: DataFrame) -> DataFrame:
+    """(term, bad, clean): how many toxic and how many clean texts of rows (text, _toxic) hold each term, summed in each task first."""
+    schema = pa.schema([("term", pa.string()), ("bad", pa.int64()), ("clean", pa.int64())])
+
+    def batch(held: tuple[Counter[str], Counter[str]]) -> pa.RecordBatch:
+        terms = [*held[1], *(held[0].keys() - held[1].keys())]
+        return batch_of(schema, terms, [held[1][t] for t in terms], [held[0][t] for t in terms])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("term", pa.string()), ("n", pa.int64())])
-        held: Counter[str] = Counter()
-        for batch in batches:
-            for text in texts(batch):
-                own = terms_of(fold(text))
-                held.update(own if kept is None else own & kept)
-                if len(held) > FLUSH:
-                    yield batch_of(schema, [*held], [*held.values()])
-                    held.clear()
-        yield batch_of(schema, [*held], [*held.values()])
+        held: tuple[Counter[str], Counter[str]] = Counter(), Counter()  # of clean rows, of toxic rows
+        for found in batches:
+            for text, toxic in zip(texts(found), values(found, "_toxic"), strict=True):
+                held[toxic == 1].update(terms_of(fold(text)))
+                if len(held[0]) + len(held[1]) > FLUSH:
+                    yield batch(held)
+                    held = Counter(), Counter()
+        yield batch(held)
+
+    counted = rows.select("text", "_toxic").mapInArrow(count, "term string, bad long, clean long")
+    return counted.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("clean").alias("clean"))
+
 
-    counted = rows.select("text").mapInArrow(count, "term string, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n"))
+def _sure(n_bad: int, n_clean: int) -> Column:
+    """Smoothed log odds of a term's ``bad`` and ``clean`` rows, less two standard errors."""
+    bad, clean = F.col("bad"), F.least("clean", F.lit(n_clean))
+    odds = F.log((bad + 0.5) / (n_bad - bad + 0.5)) - F.log((clean + 0.5) / (n_clean - clean + 0.5))
+    return odds - 2 * F.sqrt(1 / (bad + 0.5) + 1 / (clean + 0.5))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, ...]:
@@ -148,8 +156,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column) -> ToxicityModel:
     """Learn a model from labelled rows; ``train`` and ``calibrate`` pick rows of ``labels`` (doc_id, toxic) for lexicon and curve.
 
-    Term counts cover all training rows; the lexicon keeps ``TERMS`` terms, the curve is fitted on at most ``FIT_ROWS`` rows with
-    the smallest hash. A doc_id labelled twice is toxic if any label says so; null labels are left out. Without a toxic training
+    Term counts cover all training rows, and every term that passes the tests of its counts is weighed; only these come to the
+    driver. The curve is fitted on at most ``FIT_ROWS`` rows with the smallest hash. A doc_id labelled twice is toxic if any label says so; null labels are left out. Without a toxic training
     row the lexicon is empty and every score is below one half.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -159,11 +167,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column) ->
     def of(rows: Column) -> DataFrame:
         return text.join(broadcast_checked(known.where(rows)), "doc_id")
 
-    toxic = _count(of(train & (F.col("_toxic") == 1)), None).where(F.col("n") >= LEAST_TOXIC)
-    bad = {r.term: r.n for r in toxic.orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
-    clean = {r.term: r.n for r in _count(of(train & (F.col("_toxic") == 0)), frozenset(bad)).collect()} if bad else {}
     sizes = {r["_toxic"]: r.n for r in of(train).groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    weights = _weights(bad, clean, sizes.get(1, 0), sizes.get(0, 0))
+    n_bad, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    passed = []
+    if n_bad:
+        counted = _count(of(train & F.col("_toxic").isin(0, 1))).where(F.col("bad") >= LEAST_TOXIC)
+        passed = counted.withColumn("sure", _sure(n_bad, n_clean)).where(F.col("sure") >= LEAST_WEIGHT).collect()
+    weights = _weights({r.term: r.sure for r in passed}, {r.term: r.bad for r in passed})
     curve = (0.0, 0.0, 0.0, -3.0)
     if weights:
         rows = _features(of(calibrate), weights).orderBy("at").limit(FIT_ROWS).collect()
@@ -175,16 +185,11 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column) ->
     return ToxicityModel(weights, curve)
 
 
-def _weights(bad: dict[str, int], clean: dict[str, int], n_bad: int, n_clean: int) -> dict[str, float]:
-    found = {}
-    for term, n in bad.items():
-        m = min(clean.get(term, 0), n_clean)
-        odds = math.log((n + 0.5) / (n_bad - n + 0.5)) - math.log((m + 0.5) / (n_clean - m + 0.5))
-        sure = odds - 2 * math.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
-        if sure >= LEAST_WEIGHT:
-            found[term] = sure
+def _weights(found: dict[str, float], bad: dict[str, int]) -> dict[str, float]:
+    """Weights of the terms found, without those that another one stands for; ``bad`` has their toxic rows."""
+    found = dict(found)
     # Of a term and its own beginnings keep the longest that is in (nearly) the same rows, and no longer one that is less sure.
-    for term in sorted(found, key=len, reverse=True):
+    for term in sorted(found, key=lambda t: (-len(t), t)):
         word = term.rstrip("*")
         for stem in (f"{word[:k]}*" for k in STEMS if k < len(word) or (k == len(word) and not term.endswith("*"))):
             if term in found and stem in found:
@@ -192,7 +197,7 @@ def _weights(bad: dict[str, int], clean: dict[str, int], n_bad: int, n_clean: in
                     del found[stem]
                 elif found[stem] >= found[term]:
                     del found[term]
-    return {t: found[t] for t in sorted(found, key=lambda t: (-found[t], t))[:TERMS]}
+    return {t: found[t] for t in sorted(found, key=lambda t: (-found[t], t))}
 
 
 def _features(rows: DataFrame, weights: dict[str, float]) -> DataFrame:

@@ -13,6 +13,7 @@ import pytest
 import regex
 import sentencepiece
 from conftest import SMALL, rows_of
+from pyspark.sql import functions as F
 from support import by_id, documents, folder_texts, shipped  # noqa: F401
 from tokenizers import Tokenizer
 
@@ -166,6 +167,19 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in found.values())
 
 
+def test_no_term_is_cut_by_rank(spark):
+    # 24,000 words in ten toxic rows each, and 25 times as many clean ones; then one in six toxic rows alone
+    common = [f"{k:05d}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(24_000)]
+    rare = [f"zz{w}" for w in common[:2500]]
+    rows = [(" ".join(common), 1)] * 10 + [(" ".join(common), 0)] * 250 + [("the zyxt", 1)] * 6 + [(" ".join(rare), 1)] * 6 + [("plain", 0)] * 3000
+    rows = [(k, text, toxic) for k, (text, toxic) in enumerate(rows)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.lit(True), F.lit(True))
+    assert any("zyxt".startswith(t.rstrip("*")) for t in model.weights)
+    found = by_id(toxicity.score(frame, model))
+    assert all(found[k].predicted for k, text, _ in rows if text == "the zyxt")
+
+
 # --- 4 fingerprints
 
 
