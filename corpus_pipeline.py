@@ -10,6 +10,10 @@ from grainhouse.llm import mixing, pieces, secret_scan, sketch_dedup, toxicity
 from grainhouse.llm.common import scratch, ship_package, table
 
 
+#: Similarity in percent from which two documents of the corpus are one.
+NEAR_PERCENT = 80
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighted lexicon does not reject. The model is learned from the labels of these documents."""
     ship_package(spark)
@@ -19,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id."""
     ship_package(spark)
-    return sketch_dedup.drop_near_duplicates(docs, scratch(spark, "pipeline-near"))
+    return sketch_dedup.drop_near_duplicates(docs, scratch(spark, "pipeline-near"), NEAR_PERCENT)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

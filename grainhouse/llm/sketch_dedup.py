@@ -17,6 +17,7 @@ their full sets of 64-bit shingle hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,11 +31,10 @@ from grainhouse.llm.components import connected_components
 from grainhouse.sources.store import Store
 
 SHINGLE = 5
-PERCENT = 85  # linked from this similarity
+PERCENT = 85  # linked from this similarity, unless the caller gives another one
 ROWS = 5
 BANDS = 25
 COORDINATES = ROWS * BANDS
-LEAST_AGREEING = 66  # percent of the sketch; 0.85 less six standard deviations of 125 coordinates
 BATCH_CHARS = 500_000
 MEMO_WORDS = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -77,6 +77,12 @@ def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
     return np.unique(found)
 
 
+def least_agreeing(percent: int) -> int:
+    """Percent of the sketch: the similarity less six standard deviations of its coordinates, rounded down (65 at 85, 58 at 80)."""
+    p = percent / 100
+    return max(0, math.floor(100 * (p - 6 * math.sqrt(p * (1 - p) / COORDINATES))))
+
+
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
     """One row of ``COORDINATES`` values per set; rows of empty sets are all ones."""
     sizes = np.array([*map(len, sets)])
@@ -135,10 +141,10 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame) -> DataFrame:
+def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame, percent: int) -> DataFrame:
     """The rows of ``held`` that may still have a link in their bucket, with ``_size_of`` and ``_known`` of their sets and ``_buckets``.
 
-    A pair of sets of n and m shingles is linked if they share at least PERCENT / (100 + PERCENT) of n + m. A set shares no
+    A pair of sets of n and m shingles is linked if they share at least percent / (100 + percent) of n + m. A set shares no
     shingle that is in no other set here, and no partner is smaller than the smallest set of the bucket.
     """
     schema = pa.schema([("node", pa.binary()), ("shingle", pa.int64())])
@@ -159,11 +165,11 @@ def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame) -> DataFr
     known = known.select("node", "_size_of", (F.col("_size_of") - F.coalesce("_alone", F.lit(0))).alias("_known"))
     held = held.join(known.join(places.select("node", "_buckets"), "node"), "node")
     least = held.groupBy("bucket").agg(F.min("_size_of").alias("_least"))
-    reach = (100 + PERCENT) * F.col("_known") >= PERCENT * (F.col("_size_of") + F.col("_least"))
+    reach = (100 + percent) * F.col("_known") >= percent * (F.col("_size_of") + F.col("_least"))
     return held.join(least, "bucket").where(reach).drop("_least")
 
 
-def _centres(held: DataFrame, many: int, store: Store, name: str) -> tuple[DataFrame, DataFrame]:
+def _centres(held: DataFrame, many: int, percent: int, store: Store, name: str) -> tuple[DataFrame, DataFrame]:
     """(pairs to compare, members that stay) of buckets that hold several components.
 
     The centres of a bucket are its first ``many`` nodes, those of its smallest components first. They are compared with every member
@@ -186,7 +192,7 @@ def _centres(held: DataFrame, many: int, store: Store, name: str) -> tuple[DataF
     held = held.join(marks, "node", "left").withColumn("_is_centre", F.col("_is_centre").isNotNull())
     own = {"node": "_centre", "component": "_own", "_size_of": "_own_size", "_known": "_own_known", "_buckets": "_own_buckets"}
     centres = held.where("_is_centre").select("bucket", *own).withColumnsRenamed(own)
-    reach = (100 + PERCENT) * F.least("_known", "_own_known") >= PERCENT * (F.col("_size_of") + F.col("_own_size"))
+    reach = (100 + percent) * F.least("_known", "_own_known") >= percent * (F.col("_size_of") + F.col("_own_size"))
     # a pair belongs to the first bucket that it ever shared: where one of them is no longer there, the pair is settled
     once = F.col("bucket") == F.array_min(F.array_intersect("_buckets", "_own_buckets"))
     twice = F.col("_is_centre") & (F.col("node") < F.col("_centre"))
@@ -194,14 +200,15 @@ def _centres(held: DataFrame, many: int, store: Store, name: str) -> tuple[DataF
     return pairs.select(a, b), held.where("not _is_centre").select("bucket", "node", "_weight")
 
 
-def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose sketches agree in ``LEAST_AGREEING`` percent."""
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sketches agree in as much as ``percent`` of similarity leaves likely."""
+    least = least_agreeing(percent)
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (np.frombuffer(b"".join(values(batch, c)), np.uint8).reshape(-1, COORDINATES) for c in ("sa", "sb"))
-            keep = 100 * (left == right).sum(1) >= LEAST_AGREEING * COORDINATES
+            keep = 100 * (left == right).sum(1) >= least * COORDINATES
             yield batch.select(["a", "b"]).filter(pa.array(keep)).cast(schema)
 
     sketch = nodes.select("node", "sketch")
@@ -226,8 +233,8 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(sets, "node binary, shingles binary").dropDuplicates(["node"])
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) that reach ``PERCENT`` on their full sets."""
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that reach ``percent`` on their full sets."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,8 +243,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 left, right = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
                 least, most = sorted((len(left), len(right)))
-                shared = len(np.intersect1d(left, right, assume_unique=True)) if 100 * least >= PERCENT * most else 0
-                keep.append(100 * shared >= PERCENT * (least + most - shared))
+                shared = len(np.intersect1d(left, right, assume_unique=True)) if 100 * least >= percent * most else 0
+                keep.append(100 * shared >= percent * (least + most - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).cast(schema)
 
     found = pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "sa"}), "a")
@@ -245,10 +252,10 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return found.select("a", "b", "sa", "sb").mapInArrow(compare, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
+def near_duplicates(docs: DataFrame, store: Store, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text).
 
-    ``component_id`` is the smallest doc_id reachable over links of similarity 0.85 or more, ``kept`` is doc_id = component_id.
+    ``component_id`` is the smallest doc_id reachable over links of similarity ``percent`` or more, ``kept`` is doc_id = component_id.
     Texts without words have an empty set, are linked with nothing, and are kept. Rows that share a doc_id and have different
     texts are told apart by their sets; repeated rows all get their doc_id's result. A row without doc_id links others, takes
     part in their component, is never its name, and is kept only where no row of its component has a doc_id.
@@ -280,13 +287,13 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
                 break
             if sets is None:  # of all nodes that are left, for this round and the later ones
                 sets = sets_of(held.select("node").distinct(), "sets")
-            held = store.overwrite(_within_reach(held, sets, places), f"held_{k}")
-        pairs, rest = _centres(held, 1 << k, store, f"centres_{k}")
+            held = store.overwrite(_within_reach(held, sets, places, percent), f"held_{k}")
+        pairs, rest = _centres(held, 1 << k, percent, store, f"centres_{k}")
         pairs = store.overwrite(pairs, f"pairs_{k}")
         members = store.overwrite(rest, f"members_{k + 1}")
-        plausible = store.overwrite(_plausible(pairs, nodes), f"plausible_{k}")
+        plausible = store.overwrite(_plausible(pairs, nodes, percent), f"plausible_{k}")
         full = sets if sets is not None else sets_of(plausible.select(F.col("a").alias("node")).union(plausible.select("b")).distinct(), f"sets_{k}")
-        new = store.overwrite(_confirm(plausible, full), f"links_{k}")
+        new = store.overwrite(_confirm(plausible, full, percent), f"links_{k}")
         for name in (f"members_{k}", f"sets_{k}", f"open_{k}", f"held_{k}", f"centres_{k}", f"pairs_{k}", f"plausible_{k}"):
             store.remove(name)
         if not new.isEmpty():
@@ -304,12 +311,12 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, store: Store, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns; of rows with one doc_id and one text, one.
 
     A doc_id of several texts stays if one of them is kept.
     """
-    judged = store.overwrite(near_duplicates(docs, store), "judged")
+    judged = store.overwrite(near_duplicates(docs, store, percent), "judged")
     fate = judged.groupBy("doc_id").agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
     gone = fate.where("not _kept").select("doc_id")
     stay = docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti")

@@ -521,6 +521,27 @@ def test_components_are_exact(spark, store, documents, folder_texts):
     assert all(r.kept == (r.component_id == k) for k, r in found.items())
 
 
+def test_pipeline_links_from_four_fifths(spark, store, documents):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    texts = []
+    for _ in range(30):  # three or four of 200 words changed far apart: 15 or 20 of 196 shingles differ
+        words = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(200)]
+        other = [*words]
+        for at in (20, 60, 100, 140)[: rng.choice((3, 4))]:
+            other[at] = "changed" + other[at]
+        texts += [" ".join(words), " ".join(other)]
+    sets = [shingle_set(t) for t in texts]
+    close = [jaccard(sets[k], sets[k + 1]) for k in range(0, len(texts), 2)]
+    assert any(0.8 <= x < 0.85 for x in close)
+    docs = documents(texts)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == {k for k in range(len(texts)) if k % 2 == 0 or close[k // 2] < 0.8}
+    found = by_id(sketch_dedup.near_duplicates(docs, store))
+    assert {k for k, r in found.items() if r.kept} == {k for k in found if k % 2 == 0 or close[k // 2] < 0.85}
+
+
 def test_every_coordinate_fills_and_estimates():
     rng = np.random.default_rng(6)
     pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
