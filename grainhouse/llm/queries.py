@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from grainhouse.llm import html_text, lm_difference, mixing, pieces, quality_rules, repair, secret_scan, sketch_dedup, spotsigs, toxicity
+from grainhouse.llm import byte_pairs, filter_audit, html_text, lm_difference, mixing, pieces, quality_rules, repair, secret_scan, sketch_dedup, spotsigs, toxicity, variants
 from grainhouse.llm.common import scratch, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,20 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"), scratch(spark, "near"))
 
 
+def _byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_pairs.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
+def _filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.filter_audit(docs, labels, scratch(spark, "filter-audit"))
+
+
+def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"), scratch(spark, "variants"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -77,5 +91,8 @@ def queries() -> dict[str, Query]:
         "op8_secrets": _secrets,
         "op9_html_text": _html_text,
         "op10_near_duplicates": _near_duplicates,
+        "op11_byte_pairs": _byte_pairs,
+        "op12_filter_audit": _filter_audit,
+        "op13_variants": _variants,
     }
     return {name: _shipped(query) for name, query in found.items()}
