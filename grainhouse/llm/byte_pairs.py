@@ -7,12 +7,17 @@ that the root holds the leftmost minimum. A merge changes three leaves (its own,
 with a walk to the root: a word of n bytes takes O(n log n), however long it is. The words of a batch that have trees of one height
 are merged side by side in numpy arrays, one merge of each per round; a word above ``SIDE_BY_SIDE`` bytes, which would need as many
 rounds, has its own tree. Matches repeat, so a task remembers their ids.
+
+A pattern's classes depend on the Unicode version of the library that reads it. Characters that are letters or numbers to ``regex``
+and not yet to ``tiktoken`` are found on the driver, and are unassigned characters to the pattern here as they are there.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -21,6 +26,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
 from grainhouse.llm.common import batch_of, runs, texts, values
@@ -39,6 +45,36 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, data.splitlines()) if word}
 
 
+UNASSIGNED = "\ufdd0"  # is, and stays, no character
+
+
+@lru_cache(maxsize=8)
+def later_characters(pattern: str) -> str:
+    """The characters that a pattern here takes for letters or numbers and the library, older, does not."""
+    unknown = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn")
+    # a character of the class before it joins its match, which shows as a merge across the two
+    joins = [bytes([first, second]) for first in b"a1" for second in range(256)]
+    ranks = {word: rank for rank, word in enumerate([*(bytes([b]) for b in range(256)), *joins])}
+    library = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    cut = regex.compile(pattern).findall
+
+    def differs(character: str, before: str) -> bool:
+        text = before + character
+        return (library.encode_ordinary(text)[0] > 255) != (len(cut(text)[0]) > 1)
+
+    return "".join(c for c in regex.findall(r"[\p{L}\p{N}]", unknown) if differs(c, "a") or differs(c, "1"))
+
+
+def _character_class(characters: str) -> re.Pattern[str] | None:
+    """Any of sorted characters, told by ranges."""
+    if not characters:
+        return None
+    points = np.array([ord(c) for c in characters])
+    cuts = np.flatnonzero(np.diff(points) > 1)
+    starts, ends = points[np.r_[0, cuts + 1]], points[np.r_[cuts, len(points) - 1]]
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends, strict=True)) + "]")
+
+
 def merge_word(word: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     """The ids of one word: merges by rank, the leftmost first, with a segment tree over the positions."""
     n = len(word)
@@ -90,7 +126,7 @@ def merge_word(word: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
 class BytePairCodec:
     """Encodes and decodes by a table of ranks and a pattern that cuts texts. Ids are little-endian unsigned 32-bit integers."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, later: str = ""):
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"the vocabulary lacks the bytes {missing}")
         if not 0 <= min(ranks.values()) <= max(ranks.values()) < 1 << 31 or len(set(ranks.values())) < len(ranks):
@@ -98,7 +134,8 @@ class BytePairCodec:
         self.ranks = ranks
         self.longest = max(map(len, ranks))
         self.bytes_of = {rank: word for word, rank in ranks.items()}
-        self._matches = regex.compile(pattern).findall
+        self._pattern = regex.compile(pattern)
+        self._later = _character_class(later)
         self._byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         pairs = sorted(
             (left << 32 | right, rank)
@@ -160,6 +197,13 @@ class BytePairCodec:
         ends = np.cumsum(live.sum(axis=1)) * 4
         return [ids[start:end] for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
+    def cut(self, text: str) -> list[str]:
+        """The matches of the pattern."""
+        if self._later is None or text.isascii() or not self._later.search(text):
+            return self._pattern.findall(text)
+        older = self._later.sub(UNASSIGNED, text)
+        return [text[m.start() : m.end()] for m in self._pattern.finditer(older)]
+
     def _learn(self, matches: list[str]) -> None:
         by_height: dict[int, list[tuple[str, bytes]]] = {}
         for match in matches:
@@ -181,7 +225,7 @@ class BytePairCodec:
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text."""
-        cut = [self._matches(text) for text in batch]
+        cut = [self.cut(text) for text in batch]
         if len(self.memo) > MEMO_MATCHES or self.memo_chars > MEMO_CHARS:
             self._forget()
         if new := set().union(*cut).difference(self.memo):
@@ -194,9 +238,9 @@ class BytePairCodec:
 
 
 @lru_cache(maxsize=1)
-def codec_of(data: bytes, pattern: str) -> BytePairCodec:
+def codec_of(data: bytes, pattern: str, later: str) -> BytePairCodec:
     """The codec of a Python worker, kept for its next tasks with the matches it knows."""
-    return BytePairCodec(read_ranks(data), pattern)
+    return BytePairCodec(read_ranks(data), pattern, later)
 
 
 def _per_batch(
@@ -204,10 +248,10 @@ def _per_batch(
 ) -> DataFrame:
     """Map (doc_id, ``given``) batch by batch. The vocabulary, a file of a few MB at most, goes out from the driver."""
     with open(vocabulary, "rb") as file:
-        shipped = rows.sparkSession.sparkContext.broadcast(file.read())
+        shipped = rows.sparkSession.sparkContext.broadcast((file.read(), pattern, later_characters(pattern)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shipped.value, pattern)
+        codec = codec_of(*shipped.value)
         for batch in batches:
             found = texts(batch) if given == "text" else [v or [] for v in values(batch, given)]
             ids = batch.column(batch.schema.get_field_index("doc_id"))
