@@ -16,6 +16,7 @@ from grainhouse.functions.scalar import (
     clean_upper,
     date_key,
     days_between,
+    minutes_between,
     month_key,
     zip5,
 )
@@ -247,3 +248,39 @@ def fact_payments(payments: DataFrame, spine: DataFrame, partition: str = YEAR)
 def fact_reviews(reviews: DataFrame, spine: DataFrame, partition: str = YEAR) -> DataFrame:
     """One row per review and order; a review id alone is not unique."""
     return _keyed(_with_order(reviews, spine), "fact_reviews", partition)
+
+
+def order_totals(spine: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Every order once, with what each fact says about it. Each fact is reduced to a row per order before the join."""
+    sold = items.groupBy("order_key").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.sum("price").alias("items_revenue"),
+        F.sum("freight_value").alias("freight"),
+        F.max("delivery_delay_days").alias("delay_days"),
+        F.max("actual_delivery_days").alias("actual_days"),
+        F.max("delivered_date_key").alias("delivered_date_key"),
+        F.max("delivered_carrier_date").alias("_carrier"),
+        F.max("delivered_customer_date").alias("_customer"),
+    )
+    paid = payments.groupBy("order_key").agg(F.count(F.lit(1)).alias("payments"), F.sum("payment_value").alias("paid"))
+    rated = reviews.groupBy("order_key").agg(F.count("review_score").alias("reviews"), F.sum("review_score").alias("review_total"))
+    joined = spine.select(
+        "order_key",
+        "order_id",
+        "customer_key",
+        "order_status",
+        F.col("city").alias("customer_city"),
+        F.col("state").alias("customer_state"),
+        F.col("order_purchase_timestamp").alias("purchase_timestamp"),
+        "purchase_date_key",
+    )
+    for side in (sold, paid, rated):
+        joined = joined.join(side, "order_key", "left")
+    # timing is constant within an order, so minutes are worked out once per order
+    timed = joined.withColumns(
+        {
+            "handling_minutes": minutes_between("purchase_timestamp", "_carrier"),
+            "transit_minutes": minutes_between("_carrier", "_customer"),
+        }
+    ).drop("_carrier", "_customer")
+    return timed.fillna(0, ["items", "payments", "reviews"])

@@ -4,9 +4,10 @@ numbers or zero differences mean the check passes.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainhouse.functions import labels
@@ -16,6 +17,9 @@ from grainhouse.operators.joins import drill_across, fan_out_total, without_matc
 from grainhouse.plans.warehouse import Warehouse
 from grainhouse.sources.schemas import DWH_SCHEMAS, FOREIGN_KEYS, GRAINS, LENGTHS, SCHEMAS
 
+if TYPE_CHECKING:
+    from grainhouse.plans.measured import Measured
+
 FACTS = ("fact_order_items", "fact_payments", "fact_reviews")
 # source table behind each written table, for reconciliation
 LOADED_FROM = {
@@ -144,32 +148,93 @@ def totals_preserved(wh: Warehouse) -> DataFrame:
     return checked.withColumn("diff", F.round(F.col("source_value") - F.col("warehouse_value"), 6))
 
 
-def orphans(wh: Warehouse) -> DataFrame:
-    """Child rows whose parent does not exist, per foreign key."""
+GRAIN_TABLES = [*FACTS, "dim_customer", "dim_order", "dim_product", "dim_seller", "order_reviews"]
+# every parent key with the columns that must be found in it
+PARENT_KEYS = {
+    (parent, key): [(c, col) for c, col, p, k in FOREIGN_KEYS if (p, k) == (parent, key)]
+    for parent, key in dict.fromkeys((p, k) for _, _, p, k in FOREIGN_KEYS)
+}
+
+
+def key_audit(uses: Sequence[tuple[str, int, DataFrame, Sequence[str]]]) -> DataFrame:
+    """One row (kind, k1, k2, present, n0, n1, …) per key, from any number of tables in one shuffle.
+
+    ``uses`` names the key's kind, a slot, a frame and one or two columns of it. ``n<slot>`` counts the rows that a slot has of the
+    key, ``present`` has a bit for each slot with rows. Rows of a key are counted before the shuffle, so that a hot key is one row
+    per task. NULL is a key like others.
+    """
+    tagged = [
+        df.select(
+            F.lit(kind).alias("kind"),
+            F.col(columns[0]).cast("string").alias("k1"),
+            (F.col(columns[1]) if len(columns) > 1 else F.lit(None)).cast("string").alias("k2"),
+            F.lit(1 << slot).alias("bit"),
+        )
+        for kind, slot, df, columns in uses
+    ]
+    slots = sorted({slot for _, slot, _, _ in uses})
+    return (
+        union_all(tagged)
+        .groupBy("kind", "k1", "k2")
+        .agg(
+            F.bit_or("bit").alias("present"),
+            *[F.count_if(F.col("bit") == 1 << slot).alias(f"n{slot}") for slot in slots],
+        )
+    )
 
-    def lost(child: str, column: str, parent: str, key: str) -> DataFrame:
-        rows = wh[child].select(F.col(column).alias("_key")).where(F.col("_key").isNotNull())
-        keys = wh[parent].select(F.col(key).alias("_key"))
-        found = _count(without_match(rows, keys, "_key"), "orphans")
-        return _tagged(found, child=child, fk=column, parent=parent)
 
-    return union_all([lost(*fk) for fk in FOREIGN_KEYS])
+def _parent_uses(wh: Warehouse):
+    for (parent, key), children in PARENT_KEYS.items():
+        yield f"key {parent}", 0, wh[parent], [key]
+        for slot, (child, column) in enumerate(children, 1):
+            yield f"key {parent}", slot, wh[child].where(F.col(column).isNotNull()), [column]
+
+
+def _grain_uses(wh: Warehouse):
+    for table in GRAIN_TABLES:
+        yield f"grain {table}", 0, wh[table], GRAINS[table]
+
+
+def _surrogate_uses(wh: Warehouse):
+    for table, schema in DWH_SCHEMAS.items():
+        yield f"surrogate {table}", 0, wh[table], [schema[0].name]
+
+
+def _in_one_row(audit: DataFrame, found: Mapping[tuple[str, ...], Mapping[str, Column]], names: Sequence[str]) -> DataFrame:
+    """Totals over the audit, ``found`` by the constants of their result row, without another shuffle of keys."""
+    one = audit.agg(
+        F.array(
+            *[
+                F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)], *[v.alias(n) for n, v in values.items()])
+                for row, values in found.items()
+            ]
+        ).alias("x")
+    )
+    return one.select(F.explode("x").alias("x")).select("x.*")
+
+
+def _lost(parent: str, slot: int) -> Column:
+    """Rows of a slot whose key the parent does not have."""
+    lost = (F.col("kind") == f"key {parent}") & (F.col("present").bitwiseAND(F.lit(1)) == 0)
+    return F.coalesce(F.sum(F.when(lost, F.col(f"n{slot}"))), F.lit(0))
+
+
+def orphans(wh: Warehouse) -> DataFrame:
+    """Child rows whose parent does not exist, per foreign key."""
+    found = {
+        (child, column, parent): {"orphans": _lost(parent, slot)}
+        for (parent, _), children in PARENT_KEYS.items()
+        for slot, (child, column) in enumerate(children, 1)
+    }
+    return _in_one_row(key_audit([*_parent_uses(wh)]), found, ["child", "fk", "parent"])
 
 
 def grain_duplicates(wh: Warehouse) -> DataFrame:
     """Natural keys that occur more than once, with the key as text."""
-    tables = [*FACTS, "dim_customer", "dim_order", "dim_product", "dim_seller", "order_reviews"]
-
-    def found(table: str) -> DataFrame:
-        keys = GRAINS[table]
-        dups = repeated(wh[table], keys)
-        return dups.select(
-            F.lit(table).alias("table_name"),
-            F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("grain"),
-            "copies",
-        )
-
-    return union_all([found(t) for t in tables])
+    dups = key_audit([*_grain_uses(wh)]).where(F.col("n0") > 1)
+    return dups.select(
+        F.substring_index("kind", " ", -1).alias("table_name"), F.concat_ws("|", "k1", "k2").alias("grain"), F.col("n0").alias("copies")
+    )
 
 
 def conflicts(wh: Warehouse) -> DataFrame:
@@ -180,20 +245,30 @@ def conflicts(wh: Warehouse) -> DataFrame:
     return scores.where(F.col("distinct_scores") > 1)
 
 
+def _population(table: str) -> dict[str, Column]:
+    of = F.col("kind") == f"surrogate {table}"
+    return {
+        "total_rows": F.coalesce(F.sum(F.when(of, F.col("n0"))), F.lit(0)),
+        "distinct_keys": F.count_if(of & F.col("k1").isNotNull()),
+    }
+
+
 def key_population(wh: Warehouse) -> DataFrame:
     """Rows against distinct surrogate keys of the eight warehouse tables."""
-    return union_all(
-        [
-            _tagged(
-                wh[table].agg(
-                    F.count(F.lit(1)).alias("total_rows"),
-                    F.countDistinct(schema[0].name).alias("distinct_keys"),
-                ),
-                table_name=table,
-            )
-            for table, schema in DWH_SCHEMAS.items()
-        ]
-    )
+    return _in_one_row(key_audit([*_surrogate_uses(wh)]), {(t,): _population(t) for t in DWH_SCHEMAS}, ["table_name"])
+
+
+def key_gates(wh: Warehouse) -> DataFrame:
+    """(gate, failures) of orphans, duplicate grains and key population: all keys of all tables in one audit."""
+    uses = [*_parent_uses(wh), *_grain_uses(wh), *_surrogate_uses(wh)]
+    lost = [_lost(parent, slot) for (parent, _), children in PARENT_KEYS.items() for slot in range(1, len(children) + 1)]
+    populations = [_population(t) for t in DWH_SCHEMAS]
+    found = {
+        ("orphans",): {"failures": sum(lost[1:], lost[0])},
+        ("duplicate grain",): {"failures": F.count_if(F.col("kind").startswith("grain ") & (F.col("n0") > 1))},
+        ("key population",): {"failures": sum((p["total_rows"] - p["distinct_keys"] for p in populations), F.lit(0))},
+    }
+    return _in_one_row(key_audit(uses), found, ["gate"])
 
 
 def person_vs_order(wh: Warehouse) -> DataFrame:
@@ -408,27 +483,48 @@ def date_key_coverage(wh: Warehouse) -> DataFrame:
     return union_all([covered(*r) for r in roles])
 
 
-def gates(wh: Warehouse) -> DataFrame:
-    """All pass/fail checks as (gate, failures); a release needs zero everywhere."""
+def gates(wh: Warehouse, measured: Measured | None = None) -> DataFrame:
+    """All pass/fail checks as (gate, failures); a release needs zero everywhere.
+
+    Given what a load has measured while it wrote, the checks of rows, sums, keys and days read no table again.
+    """
 
     def gate(name: str, df: DataFrame, failures=None) -> DataFrame:
         amount = F.count(F.lit(1)) if failures is None else F.coalesce(F.sum(failures), F.lit(0))
         return df.agg(amount.cast("long").alias("failures")).select(F.lit(name).alias("gate"), "failures")
 
+    source = measured or _Scanned(wh)
     lost_rows = F.abs(F.col("diff"))
     changed = F.when(safe_div(F.abs("diff"), F.greatest(F.abs("source_value"), F.lit(1.0))) > 1e-9, 1).otherwise(0)
     absent = sum((F.coalesce(F.col(f"missing_{d}"), F.lit(0)) for d in ("customer", "order", "seller", "product")), F.lit(0))
     return union_all(
         [
-            gate("row counts", row_counts(wh), lost_rows),
-            gate("totals preserved", totals_preserved(wh), changed),
-            gate("missing keys", missing_keys(wh), absent),
-            gate("orphans", orphans(wh), F.col("orphans")),
-            gate("duplicate grain", grain_duplicates(wh)),
+            gate("row counts", source.row_counts(), lost_rows),
+            gate("totals preserved", source.totals_preserved(), changed),
+            gate("missing keys", source.missing_keys(), absent),
+            key_gates(wh).select("gate", F.col("failures").cast("long").alias("failures")),
             gate("conflicting scores", conflicts(wh)),
-            gate("key population", key_population(wh), F.col("total_rows") - F.col("distinct_keys")),
-            gate("negative days", negative_days(wh)),
+            gate("negative days", source.negative_days(), F.col("item_rows")),
             gate("band sort", band_sort(wh)),
             gate("date coverage", date_key_coverage(wh), F.col("unmatched_keys")),
         ]
     )
+
+
+class _Scanned:
+    """The checks that a load can measure, from scans of the written tables."""
+
+    def __init__(self, wh: Warehouse):
+        self.wh = wh
+
+    def row_counts(self) -> DataFrame:
+        return row_counts(self.wh)
+
+    def totals_preserved(self) -> DataFrame:
+        return totals_preserved(self.wh)
+
+    def missing_keys(self) -> DataFrame:
+        return missing_keys(self.wh)
+
+    def negative_days(self) -> DataFrame:
+        return _count(negative_days(self.wh), "item_rows")

@@ -6,15 +6,17 @@ report after that is a scan of narrow Parquet columns.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainhouse.functions import labels
-from grainhouse.functions.scalar import minutes_between, week_start
+from grainhouse.functions.scalar import week_start
 from grainhouse.operators.keys import number_rows, percent_rank_weights, with_surrogate_key
 from grainhouse.plans import layers
 from grainhouse.session import input_bytes, size_shuffles, tune
@@ -31,6 +33,16 @@ class RawTables:
             setattr(self, name, tables[name])
 
 
+class built_once(cached_property):  # noqa: N801
+    """A cached property that one thread builds while others wait: its value is a table that must not be written twice."""
+
+    def __get__(self, owner, kind=None):
+        if owner is None or self.attrname in owner.__dict__:
+            return super().__get__(owner, kind)
+        with owner.locks[self.attrname]:
+            return super().__get__(owner, kind)
+
+
 class Warehouse:
     """All layers over one set of raw tables.
 
@@ -44,6 +56,7 @@ class Warehouse:
         self.partition = partition
         self.spark = store.spark
         self._kept: dict[str, DataFrame] = {}
+        self.locks: dict[str, RLock] = defaultdict(RLock)
 
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A frame over written tables, built on first use and kept. Writing its
@@ -64,61 +77,61 @@ class Warehouse:
 
     # --- staging ---------------------------------------------------------------
 
-    @cached_property
+    @built_once
     def stg_customers(self) -> DataFrame:
         return layers.stg_customers(self.raw.customers)
 
-    @cached_property
+    @built_once
     def stg_geolocation(self) -> DataFrame:
         return layers.stg_geolocation(self.raw.geolocation)
 
-    @cached_property
+    @built_once
     def stg_sellers(self) -> DataFrame:
         return layers.stg_sellers(self.raw.sellers)
 
-    @cached_property
+    @built_once
     def stg_products(self) -> DataFrame:
         return layers.stg_products(self.raw.products, self.raw.category_translation)
 
-    @cached_property
+    @built_once
     def stg_orders(self) -> DataFrame:
         return layers.stg_orders(self.raw.orders)
 
-    @cached_property
+    @built_once
     def stg_order_items(self) -> DataFrame:
         return layers.stg_order_items(self.raw.order_items)
 
-    @cached_property
+    @built_once
     def stg_payments(self) -> DataFrame:
         return layers.stg_payments(self.raw.order_payments)
 
-    @cached_property
+    @built_once
     def stg_reviews(self) -> DataFrame:
         return layers.stg_reviews(self.raw.order_reviews)
 
     # --- dimensions --------------------------------------------------------------
 
-    @cached_property
+    @built_once
     def dim_date(self) -> DataFrame:
         return self.store.overwrite(layers.calendar(layers.calendar_bounds(self.stg_orders)), "dim_date")
 
-    @cached_property
+    @built_once
     def zip_centres(self) -> DataFrame:
         return self.store.overwrite(layers.zip_centres(self.stg_geolocation), "zip_centres")
 
-    @cached_property
+    @built_once
     def dim_customer(self) -> DataFrame:
         return self._dimension(layers.people(self.stg_customers), "customer_unique_id", "dim_customer")
 
-    @cached_property
+    @built_once
     def dim_seller(self) -> DataFrame:
         return self._dimension(layers.located_sellers(self.stg_sellers, self.zip_centres), "seller_id", "dim_seller")
 
-    @cached_property
+    @built_once
     def dim_product(self) -> DataFrame:
         return self._dimension(layers.catalogue(self.stg_products), "product_id", "dim_product")
 
-    @cached_property
+    @built_once
     def order_spine(self) -> DataFrame:
         """Every order with its key, person, address and timestamps.
 
@@ -132,7 +145,7 @@ class Warehouse:
         self.store.remove("orders_placed")
         return written
 
-    @cached_property
+    @built_once
     def dim_order(self) -> DataFrame:
         return conform(self.order_spine, DWH_SCHEMAS["dim_order"])
 
@@ -142,7 +155,7 @@ class Warehouse:
 
     # --- facts --------------------------------------------------------------------
 
-    @cached_property
+    @built_once
     def fact_order_items(self) -> DataFrame:
         self.together("stg_order_items", "dim_customer", "dim_product", "zip_centres")
         self.together("order_spine", "dim_seller")
@@ -151,29 +164,29 @@ class Warehouse:
         )
         return self.store.overwrite(rows, "fact_order_items", [self.partition])
 
-    @cached_property
+    @built_once
     def fact_payments(self) -> DataFrame:
         rows = layers.fact_payments(self.stg_payments, self.order_spine, self.partition)
         return self.store.overwrite(rows, "fact_payments", [self.partition])
 
-    @cached_property
+    @built_once
     def fact_reviews(self) -> DataFrame:
         rows = layers.fact_reviews(self.stg_reviews, self.order_spine, self.partition)
         return self.store.overwrite(rows, "fact_reviews", [self.partition])
 
     # --- semantic layer -------------------------------------------------------------
 
-    @cached_property
+    @built_once
     def products(self) -> DataFrame:
         """Product dimension with its rollup group."""
         return self.dim_product.withColumn("category_group", labels.category_group("category_name_english"))
 
-    @cached_property
+    @built_once
     def dates(self) -> DataFrame:
         """Calendar with the Monday of each week."""
         return self.dim_date.withColumn("week_start", week_start("full_date"))
 
-    @cached_property
+    @built_once
     def order_totals(self) -> DataFrame:
         """Every order once, with what each fact says about it.
 
@@ -185,46 +198,10 @@ class Warehouse:
         self.together("stg_order_items", "dim_customer", "dim_product", "zip_centres", "dim_date")
         self.together("order_spine", "dim_seller")
         self.together("fact_order_items", "fact_payments", "fact_reviews")
-        items = self.fact_order_items.groupBy("order_key").agg(
-            F.count(F.lit(1)).alias("items"),
-            F.sum("price").alias("items_revenue"),
-            F.sum("freight_value").alias("freight"),
-            F.max("delivery_delay_days").alias("delay_days"),
-            F.max("actual_delivery_days").alias("actual_days"),
-            F.max("delivered_date_key").alias("delivered_date_key"),
-            F.max("delivered_carrier_date").alias("_carrier"),
-            F.max("delivered_customer_date").alias("_customer"),
-        )
-        payments = self.fact_payments.groupBy("order_key").agg(
-            F.count(F.lit(1)).alias("payments"), F.sum("payment_value").alias("paid")
-        )
-        reviews = self.fact_reviews.groupBy("order_key").agg(
-            F.count("review_score").alias("reviews"), F.sum("review_score").alias("review_total")
-        )
-        orders = self.order_spine.select(
-            "order_key",
-            "order_id",
-            "customer_key",
-            "order_status",
-            F.col("city").alias("customer_city"),
-            F.col("state").alias("customer_state"),
-            F.col("order_purchase_timestamp").alias("purchase_timestamp"),
-            "purchase_date_key",
-        )
-        joined = orders
-        for side in (items, payments, reviews):
-            joined = joined.join(side, "order_key", "left")
-        # timing is constant within an order, so minutes are worked out once per order
-        timed = joined.withColumns(
-            {
-                "handling_minutes": minutes_between("purchase_timestamp", "_carrier"),
-                "transit_minutes": minutes_between("_carrier", "_customer"),
-            }
-        ).drop("_carrier", "_customer")
-        joined = timed.fillna(0, ["items", "payments", "reviews"])
-        return self.store.overwrite(layers.laid_out(joined, self.partition), "order_totals", [self.partition])
+        totals = layers.order_totals(self.order_spine, self.fact_order_items, self.fact_payments, self.fact_reviews)
+        return self.store.overwrite(layers.laid_out(totals, self.partition), "order_totals", [self.partition])
 
-    @cached_property
+    @built_once
     def orders(self) -> DataFrame:
         """Order mirror: totals plus the labels derived from delivery timing."""
         delay, actual = F.col("delay_days"), F.col("actual_days")
@@ -239,7 +216,7 @@ class Warehouse:
             }
         )
 
-    @cached_property
+    @built_once
     def seller_revenue_ranks(self) -> DataFrame:
         """Distinct seller revenues with their percent rank, highest first."""
         revenue = (

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 from grainhouse.operators.aggregates import union_all
 from grainhouse.operators.history import HISTORY, high_water_mark, increment, scd2_apply, start_history
 from grainhouse.operators.keys import with_surrogate_key
-from grainhouse.plans import layers, rebuild
+from grainhouse.plans import layers, measures, rebuild, reports
+from grainhouse.plans.incremental import DONE, FACTS, TOTALS, IncrementalLoad
+from grainhouse.plans.measured import KEYS
+from grainhouse.plans.release import MANIFEST, RELEASED
+from grainhouse.registry.measures import QUERIES as MEASURES
 from grainhouse.registry.oracle import key8
 from grainhouse.registry.quality import QUERIES as QUALITY
 from grainhouse.registry.quality import SRC
+from grainhouse.registry.reports import QUERIES as REPORTS
 from grainhouse.sources.files import read_csv, refresh_mirror, write_csv
-from grainhouse.sources.schemas import DWH_SCHEMAS, SCHEMAS, SRC_SCHEMAS
+from grainhouse.sources.schemas import DWH_SCHEMAS, LENGTHS, MIRROR_SCHEMAS, SCHEMAS, SRC_SCHEMAS, STG_SCHEMAS
 from grainhouse.sources.store import Store, conform, drop_columns
 
 SINCE, AS_OF = "1995-01-01", "2001-09-01"
@@ -84,6 +89,72 @@ _INCREMENT = f"""
                                   WHERE purchase_timestamp < DATE '{CUT}' AND order_status <> 'shipped') - INTERVAL {LOOKBACK.days} DAY"""
 
 
+LATE = 20  # days before the cut from which shipped orders were not known yet
+
+
+def batches_at_cut(wh):
+    """The sources of two loads: what was known at the cut, without late rows, and all there is."""
+    spine = wh.order_spine
+    cut = int(CUT.replace("-", ""))
+    day = F.to_date(F.col("purchase_date_key").cast("string"), "yyyyMMdd")
+    late = (F.col("order_status") == "shipped") & (day >= F.date_sub(F.lit(CUT).cast("date"), LATE))
+    known = spine.where((F.col("purchase_date_key") < cut) & ~late)
+    now = {f: wh[f] for f in FACTS}
+    then = {f: rows.join(known.select("order_key"), "order_key", "left_semi") for f, rows in now.items()}
+    return (then, known), (now, spine)
+
+
+def _loaded(wh) -> IncrementalLoad:
+    """Two loads, with the second replayed under its name and under another."""
+    load = IncrementalLoad(_below(wh, "increments"))
+
+    def run():
+        first, second = batches_at_cut(wh)
+        for batch, (sources, spine) in {"first": first, "second": second, "again": second}.items():
+            load.load(batch, sources, spine, LOOKBACK)
+            load.load(batch, sources, spine, LOOKBACK)
+        return load.ledger()
+
+    wh.once("increments", run)
+    return load
+
+
+def incremental_load(wh):
+    return _loaded(wh).table("fact_order_items").drop("fact_key", layers.MONTH)
+
+
+def incremental_totals(wh):
+    """The order mirror after the loads."""
+    columns = ["order_key", "items", "items_revenue", "freight", "payments", "paid", "reviews", "review_total", "delay_days", "delivered_date_key"]
+    return _loaded(wh).table(TOTALS).select(*columns)
+
+
+def incremental_ledger(wh):
+    """What each batch has added, in which order, and up to which day."""
+    done = _loaded(wh).ledger().where(F.col("state") == DONE)
+    return done.select("batch", "table_name", "mark", "rows", F.size("months").cast("long").alias("months"))
+
+
+def _released(wh):
+    """The release that a rebuild has made, opened by its pointer."""
+    full_rebuild(wh)
+    return rebuild.open_current(_below(wh, "release"))
+
+
+def release_manifest(wh):
+    """Rows of each released table by the manifest, and by a reading of what is there (no row where both agree)."""
+    opened = _released(wh)
+    issues = opened.verify().withColumnRenamed("table_name", "_name")
+    listed = opened.store.read(MANIFEST).select("table_name", "rows")
+    return listed.join(issues, F.col("table_name") == F.col("_name"), "left").select("table_name", "rows", "issue")
+
+
+def load_measures(wh):
+    """What the rebuild's own writes have measured."""
+    full_rebuild(wh)
+    return _below(wh, "release").read("runs/first/measures")
+
+
 def _old_model(wh):
     """The model before the migration: timing on the order dimension as well, and
     no delivery date key on the items."""
@@ -167,7 +238,58 @@ def full_rebuild(wh):
     return wh.once("release", run)
 
 
-_MONEY = "DECIMAL(38,2)"
+_RELEASED_ROWS = {
+    "order_totals": "(SELECT COUNT(*) FROM dim_order)",
+    "zip_centres": "(SELECT COUNT(*) FROM zip_centres)",
+    "order_spine": "(SELECT COUNT(*) FROM dim_order)",
+    "seller_revenue_ranks": """(SELECT COUNT(DISTINCT revenue) FROM (SELECT SUM(price) AS revenue FROM fact_order_items
+        WHERE seller_key IS NOT NULL GROUP BY seller_key))""",
+}
+
+
+def _measures_sql() -> str:
+    """The measures of a load by scans of each table."""
+    parts = []
+    for table in (*STG_SCHEMAS, *DWH_SCHEMAS):
+        names = SCHEMAS[table].names
+        found = {"rows": "COUNT(*)"}
+        found |= {n: f"ROUND(CAST(SUM({c}) AS DOUBLE), 2)" for c, n in {"price": "sum price", "freight_value": "sum freight", "payment_value": "sum payment"}.items() if c in names}
+        if "review_score" in names:
+            found["mean score"] = "ROUND(CAST(SUM(review_score) AS DOUBLE) / NULLIF(COUNT(review_score), 0), 6)"
+        if table in FACTS:
+            found |= {f"missing {k}": f"COUNT(*) - COUNT({k}_key)" for k in KEYS if f"{k}_key" in names}
+        if "actual_delivery_days" in names:
+            found["negative days"] = "COUNT(*) FILTER (actual_delivery_days < 0)"
+        found |= {f"longest {c}": f"MAX(length({c}))" for c in LENGTHS[table] if c in names}
+        parts += [f"SELECT '{table}' AS table_name, '{n}' AS measure, CAST({sql} AS DOUBLE) AS value FROM {table}" for n, sql in found.items()]
+    parts += [f"SELECT '{t}' AS table_name, 'rows' AS measure, CAST({_RELEASED_ROWS[t]} AS DOUBLE) AS value" for t in MIRROR_SCHEMAS]
+    return "\nUNION ALL\n".join(parts)
+
+
+# the first load has the orders known at the cut; the second brings the others; a third finds nothing
+_KNOWN = f"""purchase_date_key < {CUT.replace("-", "")} AND NOT (order_status = 'shipped' AND purchase_date_key >= {{late}})"""
+_LATE = (datetime.date.fromisoformat(CUT) - datetime.timedelta(LATE)).strftime("%Y%m%d")
+_DATED_ORDERS = f"""SELECT order_key, {key8("order_purchase_timestamp")} AS purchase_date_key FROM buyers"""
+
+
+def _ledger_sql() -> str:
+    known = f"SELECT b.order_key FROM ({_DATED_ORDERS}) b JOIN dim_order d ON b.order_key = d.order_key WHERE " + _KNOWN.format(late=_LATE)
+    tables = {**{f: f"SELECT order_key, purchase_date_key FROM {f}" for f in FACTS}, TOTALS: _DATED_ORDERS}
+    months = " UNION ".join(
+        f"SELECT DISTINCT purchase_date_key // 100 AS m, order_key IN ({known}) AS early FROM ({sql})" for sql in tables.values()
+    )
+    parts = []
+    for batch, kept in (("first", "early"), ("second", "NOT early"), ("again", "FALSE")):
+        for table, sql in tables.items():
+            mark = f"SELECT MAX(purchase_date_key) FROM ({sql})" + (f" WHERE order_key IN ({known})" if batch == "first" else "")
+            parts.append(
+                f"SELECT '{batch}' AS batch, '{table}' AS table_name, ({mark}) AS mark, COUNT(*) FILTER ({kept}) AS rows, "
+                f"(SELECT COUNT(DISTINCT m) FROM ({months}) WHERE {kept}) AS months FROM (SELECT order_key IN ({known}) AS early FROM ({sql}))"
+            )
+    return "\nUNION ALL\n".join(parts)
+
+
+_MONEY, _MONEY20 = "DECIMAL(38,2)", "DECIMAL(20,2)"
 _VALUES = {"fact_order_items": f"CAST(SUM(price) AS {_MONEY})", "fact_payments": f"CAST(SUM(payment_value) AS {_MONEY})"}
 
 QUERIES = {
@@ -185,6 +307,21 @@ QUERIES = {
     ),
     "h_undo_scd2": (undo_scd2, "SELECT * FROM dim_seller"),
     "h_incremental": (incremental, _INCREMENT),
+    "h_incremental_load": (incremental_load, "SELECT * FROM fact_order_items"),
+    "h_incremental_totals": (
+        incremental_totals,
+        f"""SELECT d.order_key, COALESCE(items, 0) AS items, items_revenue, freight, COALESCE(payments, 0) AS payments, paid,
+                   COALESCE(reviews, 0) AS reviews, review_total, delay_days, delivered_date_key
+            FROM dim_order d
+            LEFT JOIN (SELECT order_key, COUNT(*) AS items, CAST(SUM(price) AS {_MONEY20}) AS items_revenue, CAST(SUM(freight_value) AS {_MONEY20}) AS freight,
+                              MAX(delivery_delay_days) AS delay_days, MAX(delivered_date_key) AS delivered_date_key
+                       FROM fact_order_items GROUP BY order_key) i ON d.order_key = i.order_key
+            LEFT JOIN (SELECT order_key, COUNT(*) AS payments, CAST(SUM(payment_value) AS {_MONEY20}) AS paid FROM fact_payments GROUP BY order_key) p
+              ON d.order_key = p.order_key
+            LEFT JOIN (SELECT order_key, COUNT(review_score) AS reviews, CAST(SUM(review_score) AS BIGINT) AS review_total
+                       FROM fact_reviews GROUP BY order_key) r ON d.order_key = r.order_key""",
+    ),
+    "h_incremental_ledger": (incremental_ledger, _ledger_sql()),
     "h_schema_change": (schema_change, "SELECT * FROM dim_order"),
     "h_backfill": (
         backfilled,
@@ -204,4 +341,14 @@ QUERIES = {
     "io_create_append": (create_append, "SELECT * FROM stg_payments"),
     # a rebuild returns only when its gates have passed
     "rebuild_gates": (full_rebuild, QUALITY["dq_gates"][1]),
+    "rebuild_measures": (load_measures, _measures_sql()),
+    # reports on the released run, opened by the pointer; they write nothing
+    "io_open_current": (lambda wh: reports.monthly_net(_released(wh)), REPORTS["r_monthly_net"][1]),
+    "io_open_current_handling": (lambda wh: measures.handling_share_top(_released(wh)), MEASURES["m_handling_share_top10"][1]),
+    "io_release_manifest": (
+        release_manifest,
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, {_RELEASED_ROWS.get(t, f'(SELECT COUNT(*) FROM {t})')} AS rows, CAST(NULL AS VARCHAR) AS issue" for t in RELEASED
+        ),
+    ),
 }

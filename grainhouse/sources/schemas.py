@@ -17,6 +17,9 @@ _TYPES = {
     "d": T.DateType(),
     "t": T.TimestampNTZType(),
     "m": T.DecimalType(10, 2),
+    "m20": T.DecimalType(20, 2),
+    "m38": T.DecimalType(38, 2),
+    "f": T.DoubleType(),
     "lat": T.DecimalType(10, 8),
     "lng": T.DecimalType(11, 8),
 }
@@ -81,7 +84,19 @@ _WAREHOUSE = {
     "fact_reviews": "fact_key:l review_id:s50 order_id:s50 order_key:l customer_key:l purchase_date_key:i review_score:i",
 }
 
-_PARSED = {name: _table(spec) for layer in (_SOURCE, _STAGING, _WAREHOUSE) for name, spec in layer.items()}
+# tables beside the warehouse that reports read
+_MIRROR = {
+    "order_totals": "order_key:l order_id:s customer_key:l order_status:s customer_city:s customer_state:s purchase_timestamp:t "
+    "purchase_date_key:i items:l items_revenue:m20 freight:m20 delay_days:i actual_days:i delivered_date_key:i payments:l paid:m20 "
+    "reviews:l review_total:l handling_minutes:l transit_minutes:l",
+    "order_spine": "order_id:s customer_id:s order_status:s order_purchase_timestamp:t order_approved_at:t "
+    "order_delivered_carrier_date:t order_delivered_customer_date:t order_estimated_delivery_date:t order_key:l customer_key:l "
+    "city:s state:s zip_code:s latitude:lat longitude:lng country:s purchase_date_key:i",
+    "zip_centres": "zip_code_prefix:s latitude:lat longitude:lng",
+    "seller_revenue_ranks": "revenue:m38 n:l pct_rank:f",
+}
+
+_PARSED = {name: _table(spec) for layer in (_SOURCE, _STAGING, _WAREHOUSE, _MIRROR) for name, spec in layer.items()}
 
 SCHEMAS: dict[str, T.StructType] = {name: parsed[0] for name, parsed in _PARSED.items()}
 LENGTHS: dict[str, dict[str, int]] = {name: parsed[1] for name, parsed in _PARSED.items()}
@@ -89,6 +104,7 @@ LENGTHS: dict[str, dict[str, int]] = {name: parsed[1] for name, parsed in _PARSE
 SRC_SCHEMAS = {name: SCHEMAS[name] for name in _SOURCE}
 STG_SCHEMAS = {name: SCHEMAS[name] for name in _STAGING}
 DWH_SCHEMAS = {name: SCHEMAS[name] for name in _WAREHOUSE}
+MIRROR_SCHEMAS = {name: SCHEMAS[name] for name in _MIRROR}
 
 # Natural key of every table that has one (geolocation deliberately has none).
 GRAINS = {

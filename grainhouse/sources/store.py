@@ -6,9 +6,10 @@ loss of the executor that wrote it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +71,28 @@ class Store:
         """
         return self._write(df, name, "overwrite", partition_by)
 
+    def overwrite_partitions(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> DataFrame:
+        """Replace the partitions that ``df`` has rows for and leave the others as they are, down to their files.
+
+        Must not be given a frame that reads the table. A write that is cut off can leave some partitions without rows: give
+        rows from a written table, and write them again.
+        """
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        writer.parquet(self.path(name))
+        return self.read(name, _partitions_last(df, partition_by))
+
+    def claim(self, name: str) -> bool:
+        """Create an empty marker file; False where it is there already. Of several writers one gets it, on file systems whose
+        create is exclusive."""
+        files, path = self._on_filesystem(name)
+        try:
+            files.create(path, False).close()
+        except Exception:
+            if files.exists(path):
+                return False
+            raise
+        return True
+
     def append(self, df: DataFrame, name: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> DataFrame:
         """Add rows to a table; columns are matched by name, not by position."""
         return self._write(conform(df, schema), name, "append", partition_by)
@@ -86,9 +109,35 @@ class Store:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))
-        fields = [f for f in df.schema.fields if f.name not in partition_by]
-        fields += [f for f in df.schema.fields if f.name in partition_by]
-        return self.read(name, T.StructType(fields))
+        return self.read(name, _partitions_last(df, partition_by))
+
+
+class MeasuringStore(Store):
+    """A store that measures chosen tables in the very job that writes them, so that nobody has to read them again for it.
+
+    ``measures`` names the aggregates for each table as a function of its frame; ``measured`` has their values once the table is
+    written. The measuring node is the last one before the files, in the stage whose tasks write them, where each task counts
+    once however often it is tried.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, measures: Mapping[str, Any]):
+        super().__init__(spark, root)
+        self.measures = measures
+        self.measured: dict[str, dict[str, Any]] = {}
+
+    def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        wanted = self.measures[name](df) if name in self.measures else {}
+        if not wanted:
+            return super().overwrite(df, name, partition_by)
+        seen = Observation()
+        written = super().overwrite(df.observe(seen, *[v.alias(n) for n, v in wanted.items()]), name, partition_by)
+        self.measured[name] = seen.get
+        return written
+
+
+def _partitions_last(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
+    fields = [f for f in df.schema.fields if f.name not in partition_by]
+    return T.StructType(fields + [f for f in df.schema.fields if f.name in partition_by])
 
 
 def add_columns(df: DataFrame, columns: dict[str, tuple[str, object]]) -> DataFrame:
