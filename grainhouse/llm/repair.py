@@ -200,7 +200,8 @@ class WordEncoder:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return _BLANK.split(text)
         # Fewer distinct words, same ids: ASCII in lower case (but for special tokens), and a stop or comma apart from the
-        # letters before it, unless some text here ends in a run of punctuation, which is one token.
+        # letters before it, unless some word here ends in a run of punctuation, which is one token, or in a letter that the
+        # normaliser may take apart into a letter and a mark.
         if "<|" not in text and not _MARKS.search(text):
             text = text.lower() if text.isascii() else text
             text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
@@ -241,7 +242,7 @@ class WordEncoder:
 
 
 _BLANK = re.compile("[ \t\n\r]+")
-_MARKS = re.compile(r"(?:[^\w\s]|_)[.,]\s")
+_MARKS = re.compile(r"(?:[^\w\s]|_|[^\x00-\x7fÀ-ÿ])[.,]\s")
 
 
 @lru_cache(maxsize=1)

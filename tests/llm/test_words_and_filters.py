@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from itertools import permutations
@@ -17,7 +18,7 @@ from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
 from support import by_id, documents, folder_texts, shipped  # noqa: F401
 
-from grainhouse.llm import byte_pairs, filter_audit, sql, variants
+from grainhouse.llm import byte_pairs, filter_audit, repair, sql, variants
 from grainhouse.llm.queries import queries
 from tools.compare import canonical
 
@@ -285,3 +286,20 @@ def test_neighbourhood_holds_every_edit_once():
             given = [tuple(w) for w, h in zip(deleted + replaced + inserted, handed[row], strict=True) if h]
             assert len(set(given)) == len(given)
             assert set(given) == {tuple(w) for w in deleted} | {tuple(w) for w in replaced if w > word}
+
+
+# --- 2 token ids: characters whose normal form ends in another class
+
+
+def test_word_ids_before_stops_and_commas():
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        encoder = repair.WordEncoder(file.read())
+    changing = [chr(c) for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000 and (unicodedata.normalize("NFD", chr(c)) != chr(c) or chr(c).lower() != chr(c))]
+    changing = [c for c in changing if not 0xAC00 <= ord(c) < 0xD7A4] + list("ÀéÿßÉ가힣")
+    for form in ("A{}. b", "{}, c", "9{}.\nD"):
+        cases = [form.replace("{}", c) for c in changing]
+        ids, sizes = encoder.encode(cases, 2)
+        ends = np.cumsum(sizes).tolist()
+        expected = encoder.library.encode_batch_fast(cases, add_special_tokens=False)
+        found = [ids[end - size : end - 1].tolist() for end, size in zip(ends, sizes.tolist(), strict=True)]
+        assert found == [e.ids for e in expected]
