@@ -60,20 +60,33 @@ def scd2_apply(
         raise ValueError(f"several changes for one {key}, and no column to order them by")
     run = f"{table}-{as_of}-{uuid.uuid4().hex[:12]}"
     work = Store(store.spark, store.path(f"{run}-work"))
-    attributes = [c for c in dim.columns if c not in (key, surrogate, *HISTORY)]
+    moved = work.overwrite(versions_of(dim.where("is_current"), changes, key, surrogate, tracked, as_of), "versions")
+
+    numbered = number_rows(moved.where(F.col(surrogate).isNull()).drop(surrogate), [key], "_n", work, "new")
+    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
+    added = numbered.withColumn(surrogate, highest + F.col("_n"))
+    kept = moved.where(F.col(surrogate).isNotNull())
+    older = dim.where("NOT is_current")
+    stored = store.overwrite(older.unionByName(kept.select(*dim.columns)).unionByName(added.select(*dim.columns)), run)
+    work.clear()
+    return stored
+
+
+def versions_of(current: DataFrame, changes: DataFrame, key: str, surrogate: str, tracked: Sequence[str], as_of: str) -> DataFrame:
+    """The rows that current ones and a change per key become: kept, expired, and new versions without a surrogate key."""
+    attributes = [c for c in current.columns if c not in (key, surrogate, *HISTORY)]
     given = [c for c in attributes if c in changes.columns]
     day = F.lit(as_of).cast("date")
     none = F.lit(None)
 
     incoming = changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in given], F.lit(True).alias("_change"))
-    current = dim.where("is_current").withColumn("_known", F.lit(True))
-    both = current.join(incoming, key, "full_outer")
+    both = current.withColumn("_known", F.lit(True)).join(incoming, key, "full_outer")
 
     differs = F.lit(False)
     for column in tracked:
         differs = differs | ~F.col(column).eqNullSafe(F.col(f"_new_{column}"))
     known, touched = F.col("_known").isNotNull(), F.col("_change").isNotNull()
-    kinds = dict(dim.dtypes)
+    kinds = dict(current.dtypes)
 
     def version(new_values: bool, start: Column, end: Column, is_current: bool, number: Column) -> Column:
         values = {
@@ -91,16 +104,7 @@ def scd2_apply(
     versions = (
         F.when(~known, F.array(fresh)).when(touched & differs, F.array(expired, fresh)).otherwise(F.array(as_is))
     )
-    moved = work.overwrite(both.select(key, F.explode(versions).alias("_v")).select(key, "_v.*"), "versions")
-
-    numbered = number_rows(moved.where(F.col(surrogate).isNull()).drop(surrogate), [key], "_n", work, "new")
-    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
-    added = numbered.withColumn(surrogate, highest + F.col("_n"))
-    kept = moved.where(F.col(surrogate).isNotNull())
-    older = dim.where("NOT is_current")
-    stored = store.overwrite(older.unionByName(kept.select(*dim.columns)).unionByName(added.select(*dim.columns)), run)
-    work.clear()
-    return stored
+    return both.select(key, F.explode(versions).alias("_v")).select(key, "_v.*")
 
 
 def high_water_mark(df: DataFrame, column: str) -> datetime.datetime | None:

@@ -6,7 +6,7 @@ Each takes and returns frames and plans nothing by itself; the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from grainhouse.functions.scalar import (
     clean_upper,
     date_key,
     days_between,
+    label_equal,
     minutes_between,
     month_key,
     zip5,
@@ -284,3 +285,50 @@ def order_totals(spine: DataFrame, items: DataFrame, payments: DataFrame, review
         }
     ).drop("_carrier", "_customer")
     return timed.fillna(0, ["items", "payments", "reviews"])
+
+
+def order_sellers(spine: DataFrame, items: DataFrame, dim_seller: DataFrame) -> DataFrame:
+    """Every order with every seller of its items once: sums of the items, both places, their distance and the delivery times.
+
+    An order counts once per seller state, distance or kind of route; ``first_of_…`` marks the row that stands for it there, so
+    that reports count and average orders without grouping by order again. Items are reduced to pairs before anything is joined,
+    so that an order is as many rows as it has sellers, however many items there are. Items without a seller are a pair, too.
+    """
+    pairs = items.groupBy("order_key", "seller_key").agg(
+        F.max("purchase_date_key").alias("purchase_date_key"),
+        F.count(F.lit(1)).alias("item_rows"),
+        F.count("actual_delivery_days").alias("dated_rows"),
+        F.sum("price").alias("price"),
+        F.sum("freight_value").alias("freight_value"),
+        F.max("actual_delivery_days").alias("actual_days"),
+        F.max("purchase_timestamp").alias("_bought"),
+        F.max("delivered_carrier_date").alias("_carrier"),
+        F.max("delivered_customer_date").alias("_customer"),
+    )
+    sellers = dim_seller.select(
+        "seller_key", "seller_id", F.col("city").alias("seller_city"), F.col("state").alias("seller_state"),
+        F.col("latitude").alias("_seller_lat"), F.col("longitude").alias("_seller_lng"),
+    )
+    buyers = spine.select(
+        "order_key", "order_status", F.col("city").alias("customer_city"), F.col("state").alias("customer_state"),
+        F.col("latitude").alias("_lat"), F.col("longitude").alias("_lng"),
+    )
+    d_lat = F.col("_lat").cast("double") - F.col("_seller_lat").cast("double")
+    d_lng = F.col("_lng").cast("double") - F.col("_seller_lng").cast("double")
+    located = pairs.join(sellers, "seller_key", "left").join(buyers, "order_key").withColumns(
+        {
+            "distance": F.sqrt(d_lat * d_lat + d_lng * d_lng),
+            "route_type": F.when(F.col("seller_id").isNotNull(), label_equal("customer_state", "seller_state", "Same State", "Cross State")),
+            "handling_minutes": minutes_between("_bought", "_carrier"),
+            "transit_minutes": minutes_between("_carrier", "_customer"),
+        }
+    )
+
+    def first(column: str) -> Column:
+        least = F.min("seller_key").over(Window.partitionBy("order_key", column))
+        return F.col("seller_key").isNotNull() & (F.col("seller_key") == least)
+
+    marked = located.withColumns(
+        {"first_of_state": first("seller_state"), "first_of_distance": first("distance"), "first_of_route": first("route_type")}
+    )
+    return marked.drop("_bought", "_carrier", "_customer", "_lat", "_lng", "_seller_lat", "_seller_lng")

@@ -39,9 +39,9 @@ def measures_of(table: str) -> Callable[[DataFrame], dict[str, Column]]:
     def build(df: DataFrame) -> dict[str, Column]:
         found: dict[str, Column] = table_digest(digest_columns(table))
         for column, name in _SUMS.items():
-            if column in df.columns:
+            if table in _TOTALS[name]:
                 found[name] = F.round(F.sum(column).cast("double"), 2)
-        if "review_score" in df.columns:
+        if table in _TOTALS["mean score"]:
             found["mean score"] = mean("review_score")
         if table in FACTS:
             for dim in KEYS:

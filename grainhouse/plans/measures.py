@@ -230,17 +230,8 @@ def delivery_averages(wh: Warehouse, by: Sequence[str] = ("customer_state",)) ->
 def handling_by_seller_state(wh: Warehouse) -> DataFrame:
     """Handling and transit days per seller state, one value per order in it,
     with the rank of the state by orders among all states."""
-    times = ("purchase_timestamp", "delivered_carrier_date", "delivered_customer_date")
-    located = attach(wh, wh.fact_order_items.select("order_key", "seller_key", *times), ["seller_state"])
-    # times are constant within an order, so minutes are worked out after the collapse
-    per_order = collapse(located, ["seller_state"], "order_key", *[F.max(t).alias(t) for t in times]).withColumns(
-        {
-            "handling_minutes": minutes_between("purchase_timestamp", "delivered_carrier_date"),
-            "transit_minutes": minutes_between("delivered_carrier_date", "delivered_customer_date"),
-        }
-    )
     handling, transit = F.col("avg_handling_days"), F.col("avg_transit_days")
-    states = per_order.groupBy("seller_state").agg(
+    states = wh.order_sellers.where("first_of_state").groupBy("seller_state").agg(
         F.count(F.lit(1)).alias("orders"),
         mean_days("handling_minutes").alias("avg_handling_days"),
         mean_days("transit_minutes").alias("avg_transit_days"),

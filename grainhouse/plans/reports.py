@@ -14,7 +14,6 @@ from grainhouse.functions.scalar import (
     bucket,
     count_where,
     days_between,
-    label_equal,
     mean,
     minutes_between,
     money_sum,
@@ -366,15 +365,13 @@ def city_state(
 ) -> DataFrame:
     """Item revenue and distinct sellers by customer place, optionally for named
     cities or states."""
-    places = wh.dim_order.select("order_key", "city", "state")
+    pairs = wh.order_sellers.withColumnsRenamed({"customer_city": "city", "customer_state": "state"})
     if cities is not None:
-        places = places.where(F.col("city").isin(*cities))
+        pairs = pairs.where(F.col("city").isin(*cities))
     if states is not None:
-        places = places.where(F.col("state").isin(*states))
-    per_pair = wh.fact_order_items.groupBy("order_key", "seller_key").agg(F.sum("price").alias("price"))
+        pairs = pairs.where(F.col("state").isin(*states))
     return (
-        per_pair.join(places, "order_key")
-        .groupBy(*by, "seller_key")
+        pairs.groupBy(*by, "seller_key")
         .agg(F.sum("price").alias("price"))
         .groupBy(*by)
         .agg(money_sum("price").alias("revenue"), F.count("seller_key").alias("sellers"))
@@ -405,32 +402,13 @@ def approval_minutes(wh: Warehouse) -> DataFrame:
     )
 
 
-def _order_seller(wh: Warehouse) -> DataFrame:
-    """One row per order and seller with the order's delivery days."""
-    return wh.fact_order_items.groupBy("order_key", "seller_key").agg(
-        F.count("actual_delivery_days").alias("item_rows"),
-        F.max("actual_delivery_days").alias("actual_days"),
-    )
-
-
 def distance_buckets(wh: Warehouse) -> DataFrame:
     """Delivery days by distance in degrees between buyer and seller.
 
     The grain is distinct order and distance, so an order with several sellers
     counts once per distance.
     """
-    buyers = wh.dim_order.where(F.col("latitude").isNotNull()).select("order_key", "latitude", "longitude")
-    sellers = m.sellers(wh).where(F.col("seller_latitude").isNotNull())
-    d_lat = F.col("latitude").cast("double") - F.col("seller_latitude").cast("double")
-    d_lng = F.col("longitude").cast("double") - F.col("seller_longitude").cast("double")
-    distances = (
-        _order_seller(wh)
-        .join(sellers.select("seller_key", "seller_latitude", "seller_longitude"), "seller_key")
-        .join(buyers, "order_key")
-        .withColumn("distance", F.sqrt(d_lat * d_lat + d_lng * d_lng))
-        .groupBy("order_key", "distance")
-        .agg(F.max("actual_days").alias("actual_days"))
-    )
+    distances = wh.order_sellers.where(F.col("first_of_distance") & F.col("distance").isNotNull())
     return (
         distances.withColumn("distance_bucket", bucket("distance", labels.DISTANCE_STEPS, labels.DISTANCE_REST))
         .groupBy("distance_bucket")
@@ -448,18 +426,12 @@ def distance_buckets(wh: Warehouse) -> DataFrame:
 def route_types(wh: Warehouse) -> DataFrame:
     """Delivery days within a state and across states, each order counted once,
     beside the mean over item rows."""
-    states = wh.dim_order.select("order_key", F.col("state").alias("customer_state"))
-    routed = (
-        m.attach(wh, _order_seller(wh), ["seller_state"])
-        .join(states, "order_key")
-        .withColumn("route_type", label_equal("customer_state", "seller_state", "Same State", "Cross State"))
-        .groupBy("route_type", "order_key")
-        .agg(F.sum("item_rows").alias("item_rows"), F.max("actual_days").alias("actual_days"))
-    )
+    routed = wh.order_sellers.where(F.col("seller_key").isNotNull())
+    once = F.when(F.col("first_of_route"), F.col("actual_days"))
     return routed.groupBy("route_type").agg(
-        mean("actual_days").alias("avg_delivery_days"),
-        ratio(F.sum(F.col("actual_days") * F.col("item_rows")), F.sum("item_rows")).alias("avg_delivery_days_items"),
-        F.count(F.lit(1)).alias("orders"),
+        mean(once).alias("avg_delivery_days"),
+        ratio(F.sum(F.col("actual_days") * F.col("dated_rows")), F.sum("dated_rows")).alias("avg_delivery_days_items"),
+        count_where(F.col("first_of_route")).alias("orders"),
     )
 
 
@@ -598,6 +570,27 @@ def overview_months(
     return rows.groupBy("year", "month").agg(revenue.alias("items_revenue_net"), *m.late_columns())
 
 
+def geography_customers(wh: Warehouse, customer_state: Sequence[str] | None = None) -> DataFrame:
+    """Customer view of the geography page: item revenue and orders with items by state of the buyer."""
+    orders = wh.orders.where(F.col("items") > 0)
+    if customer_state is not None:
+        orders = orders.where(F.col("customer_state").isin(*customer_state))
+    return orders.groupBy("customer_state").agg(money_sum("items_revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+
+
+def geography_sellers(wh: Warehouse, seller_state: Sequence[str] | None = None, customer_state: Sequence[str] | None = None) -> DataFrame:
+    """Seller view of the geography page: item revenue, orders and sellers by state of the seller; a slicer for either side."""
+    pairs = wh.order_sellers.where(F.col("seller_key").isNotNull())
+    if seller_state is not None:
+        pairs = pairs.where(F.col("seller_state").isin(*seller_state))
+    if customer_state is not None:
+        pairs = pairs.where(F.col("customer_state").isin(*customer_state))
+    per_seller = pairs.groupBy("seller_state", "seller_key").agg(F.sum("price").alias("price"), count_where(F.col("first_of_state")).alias("orders"))
+    return per_seller.groupBy("seller_state").agg(
+        money_sum("price").alias("revenue"), F.sum("orders").alias("orders"), F.count(F.lit(1)).alias("sellers")
+    )
+
+
 def late_by_state_top(wh: Warehouse, n: int = 10, customer_state: str | None = None) -> DataFrame:
     """States with the largest share of late orders."""
     where = None if customer_state is None else F.col("customer_state") == customer_state
@@ -644,5 +637,5 @@ def promise_weeks(wh: Warehouse) -> DataFrame:
 
 
 def gap_median(wh: Warehouse) -> DataFrame:
-    """Median of the gaps between first and second order alone."""
+    """Median of the gaps between first and second order alone; days are counted before one task sees them."""
     return exact_median(second_order_gaps(wh), "days")

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from grainhouse.functions import labels
 from grainhouse.functions.scalar import week_start
 from grainhouse.operators.keys import number_rows, percent_rank_weights, with_surrogate_key
-from grainhouse.plans import layers
+from grainhouse.plans import layers, slices
 from grainhouse.session import input_bytes, size_shuffles, tune
 from grainhouse.sources.driver_tables import DriverTables
-from grainhouse.sources.schemas import DWH_SCHEMAS, SRC_SCHEMAS, STG_SCHEMAS
+from grainhouse.sources.schemas import DWH_SCHEMAS, SCHEMAS, SRC_SCHEMAS, STG_SCHEMAS
 from grainhouse.sources.store import Store, conform
 
 
@@ -201,6 +201,21 @@ class Warehouse:
         totals = layers.order_totals(self.order_spine, self.fact_order_items, self.fact_payments, self.fact_reviews)
         return self.store.overwrite(layers.laid_out(totals, self.partition), "order_totals", [self.partition])
 
+    @built_once
+    def order_sellers(self) -> DataFrame:
+        """Every order with every seller of its items once; see :func:`~grainhouse.plans.layers.order_sellers`."""
+        self.together("order_spine", "dim_seller")
+        pairs = layers.order_sellers(self.order_spine, self.fact_order_items, self.dim_seller)
+        placed = layers.laid_out(conform(pairs, SCHEMAS["order_sellers"]), self.partition)
+        return self.store.overwrite(placed, "order_sellers", [self.partition])
+
+    @built_once
+    def order_slices(self) -> DataFrame:
+        """Counts of orders that add up under every slicer; see :mod:`~grainhouse.plans.slices`."""
+        sellers = self.dim_seller.select("seller_key", F.col("state").alias("seller_state"))
+        groups = self.products.select("product_key", "category_group")
+        return self.store.overwrite(slices.rollup(self.fact_order_items, sellers, groups, self.orders), "order_slices")
+
     @built_once
     def orders(self) -> DataFrame:
         """Order mirror: totals plus the labels derived from delivery timing."""
@@ -229,8 +244,8 @@ class Warehouse:
     # --- bookkeeping -----------------------------------------------------------------
 
     def build(self) -> Warehouse:
-        """Write every dimension, fact and the order mirror."""
-        for name in ["order_totals", *DWH_SCHEMAS]:
+        """Write every dimension and fact and the two mirrors."""
+        for name in ["order_totals", "order_sellers", *DWH_SCHEMAS]:
             getattr(self, name)
         return self
 

@@ -10,7 +10,8 @@ from grainhouse.functions import scalar as s
 from grainhouse.operators import aggregates as a
 from grainhouse.operators import joins as j
 from grainhouse.operators.keys import number_within, percent_rank_weights
-from grainhouse.plans import layers
+from grainhouse.operators.selection import exact_quantiles, rank_rows
+from grainhouse.plans import layers, slices
 from grainhouse.plans import measures as m
 from grainhouse.registry.measures import _MONEY, _NET, _NET_TOTAL
 from grainhouse.registry.oracle import case, mean, minutes, per
@@ -265,6 +266,51 @@ _STATE_SALES = f"""SELECT state AS customer_state, CAST(SUM(price) AS {_MONEY})
                    FROM dim_order o LEFT JOIN fact_order_items f ON o.order_key = f.order_key GROUP BY state"""
 _TS = "order_purchase_timestamp"
 
+QUANTILES = {"lowest": 0.0, "q1": 0.25, "median": 0.5, "q99": 0.99, "highest": 1.0}
+
+
+def _rounded(df, names):
+    return df.select(*[F.round(n, 4).alias(n) for n in names])
+
+
+_SLICERS = ["purchase_month", "customer_state", "seller_state", "category_group"]
+SLICED = [()] + [(a,) for a in _SLICERS] + [(a, b) for k, a in enumerate(_SLICERS) for b in _SLICERS[k + 1 :]]
+
+
+def sliced_counts(wh):
+    """Distinct orders by every slicer and every two of them, from the rollup alone."""
+
+    def cut(by):
+        found = slices.sliced_counts(wh.order_slices, by)
+        return found.select(
+            F.lit(" ".join(by)).alias("slicers"),
+            *[(F.col(c) if c in by else F.lit(None)).cast("string").alias(c) for c in _SLICERS],
+            *slices.COUNTS,
+            "pct_late",
+        )
+
+    return a.union_all([cut(by) for by in SLICED])
+
+
+def _sliced_sql() -> str:
+    orders = """SELECT order_key, order_status, customer_state, delay_days, d.purchase_date_key // 100 AS purchase_month
+                FROM order_delivery o JOIN (SELECT order_key, {day} AS purchase_date_key FROM buyers) d USING (order_key)"""
+    orders = orders.format(day="CAST(strftime(order_purchase_timestamp, '%Y%m%d') AS INTEGER)")
+    items = """SELECT o.*, s.state AS seller_state, p.category_group FROM ({orders}) o JOIN fact_order_items f ON o.order_key = f.order_key
+               LEFT JOIN dim_seller s ON f.seller_key = s.seller_key LEFT JOIN dim_product_grouped p ON f.product_key = p.product_key"""
+    parts = []
+    for by in SLICED:
+        source = items.format(orders=orders) if {"seller_state", "category_group"} & {*by} else orders
+        keys = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in by else f"CAST(NULL AS VARCHAR) AS {c}" for c in _SLICERS)
+        late = "COUNT(DISTINCT order_key) FILTER (order_status = 'delivered' AND delay_days > 0)"
+        delivered = "COUNT(DISTINCT order_key) FILTER (order_status = 'delivered')"
+        parts.append(
+            f"SELECT '{' '.join(by)}' AS slicers, {keys}, COUNT(DISTINCT order_key) AS orders, {delivered} AS delivered_orders, "
+            f"{late} AS late_orders, {per(late, delivered, 100)} AS pct_late FROM ({source})" + (f" GROUP BY {', '.join(by)}" if by else "")
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
 QUERIES = {
     "col_projection": (
         projection,
@@ -424,9 +470,17 @@ QUERIES = {
         f"SELECT {case('payment_value', labels.VALUE_STEPS, labels.VALUE_REST)} AS bucket, COUNT(*) AS n FROM fact_payments GROUP BY 1",
     ),
     "agg_median": (
-        lambda wh: a.exact_median(wh.stg_products, "product_weight_g"),
+        lambda wh: exact_quantiles(wh.stg_products, "product_weight_g", {"median": 0.5}, wh.store, "weight_values"),
         "SELECT CAST(MEDIAN(p_size * 200) AS DOUBLE) AS median FROM part",
     ),
+    "agg_quantiles": (
+        lambda wh: _rounded(exact_quantiles(wh.fact_order_items, "price", QUANTILES, wh.store, "price_values"), QUANTILES),
+        "SELECT " + ", ".join(f"ROUND(quantile_cont(CAST(price AS DOUBLE), {q}), 4) AS {n}" for n, q in QUANTILES.items()) + " FROM fact_order_items",
+    ),
+    "win_rank_rows": (
+        lambda wh: rank_rows(wh.fact_payments.select("order_id", "payment_sequential", "payment_value"), "payment_value", "place", wh.store, "payment_values"),
+        "SELECT order_id, payment_sequential, payment_value, rank() OVER (ORDER BY payment_value DESC NULLS LAST) AS place FROM fact_payments",
+    ),
     "win_row_number": (
         numbered_lines,
         """SELECT seller_key, price, order_id, order_item_id, row_number() OVER (PARTITION BY seller_key ORDER BY price, order_id, order_item_id) AS place
@@ -458,6 +512,7 @@ QUERIES = {
                   FROM {_ITEM_ORDER} JOIN dim_product_grouped p ON f.product_key = p.product_key WHERE {_NET} GROUP BY category_group))
             WHERE category_group IN ('Home & Furniture', 'Electronics & Appliances')""",
     ),
+    "ctx_sliced_counts": (sliced_counts, _sliced_sql()),
     "ctx_slicers": (
         sliced_places,
         f"""SELECT s.state AS seller_state, o.state AS customer_state, CAST(SUM(price) AS {_MONEY}) AS revenue

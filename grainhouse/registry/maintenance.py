@@ -6,8 +6,10 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from grainhouse.operators.aggregates import union_all
+from grainhouse.functions.digest import digest_of
+from grainhouse.operators.aggregates import side_by_side, union_all
 from grainhouse.operators.history import HISTORY, high_water_mark, increment, scd2_apply, start_history
+from grainhouse.operators.history_table import HistoryTable
 from grainhouse.operators.keys import with_surrogate_key
 from grainhouse.plans import layers, measures, rebuild, reports
 from grainhouse.plans.incremental import DONE, FACTS, TOTALS, IncrementalLoad
@@ -18,7 +20,7 @@ from grainhouse.registry.oracle import key8
 from grainhouse.registry.quality import QUERIES as QUALITY
 from grainhouse.registry.quality import SRC
 from grainhouse.registry.reports import QUERIES as REPORTS
-from grainhouse.sources.files import read_csv, refresh_mirror, write_csv
+from grainhouse.sources.files import check_content, load_csv, read_csv, refresh_mirror, write_csv
 from grainhouse.sources.schemas import DWH_SCHEMAS, LENGTHS, MIRROR_SCHEMAS, SCHEMAS, SRC_SCHEMAS, STG_SCHEMAS
 from grainhouse.sources.store import Store, conform, drop_columns
 
@@ -57,6 +59,31 @@ def scd2(wh):
     )
 
 
+LATER, LATER_CITY, BUCKETS = "2002-03-01", "SALVADOR", 16
+
+
+def _twice(wh) -> HistoryTable:
+    """The snapshot as one run, a few moves as a second, and moves that are undone as a third."""
+    table = HistoryTable(_below(wh, "seller_history"), "dim_seller", "seller_id", "seller_key", ["city"], BUCKETS)
+
+    def run():
+        table.create(wh.dim_seller, SINCE)
+        table.apply(_seller_snapshot(wh), AS_OF)
+        number = F.col("s_suppkey")
+        moves = wh.raw.table("supplier").select(number.cast("string").alias("seller_id"), F.lit(LATER_CITY).alias("city"), number.alias("_n"))
+        table.apply(moves.where("_n % 5 = 0").drop("_n"), LATER)
+        table.apply(moves.where("_n % 7 = 0").withColumn("city", F.lit("NOWHERE")).drop("_n"), "2002-04-01")
+        table.undo()
+        return table.read()
+
+    wh.once("seller_history", run)
+    return table
+
+
+def scd2_twice(wh):
+    return _twice(wh).read()
+
+
 def undo_scd2(wh):
     """Drop the history columns and reload the dimension from staging."""
 
@@ -183,6 +210,66 @@ def csv_roundtrip(wh):
     return wh.once("csv_reviews", run)
 
 
+DROPS = 3
+
+
+def csv_rejects(wh):
+    """Payments delivered in three files. Some rows name an amount that is none, some lack a field, some have one too many."""
+
+    def run():
+        store, schema = _below(wh, "drops"), SRC_SCHEMAS["order_payments"]
+        key = F.col("order_id").cast("long")
+        fields = [F.col(n).cast("string") for n in schema.names]
+        amount = F.when(key % 13 == 0, F.lit("n/a")).otherwise(fields[-1])
+        line = F.concat_ws(",", *fields[:-1], amount, F.when(key % 17 == 0, F.lit("more")))
+        line = F.when(key % 19 == 0, F.concat_ws(",", *fields[:2])).otherwise(line)
+        counts = []
+        for drop in range(DROPS):
+            path = store.path(f"csv/drop-{drop}")
+            lines = wh.raw.order_payments.where(key % DROPS == drop).select(line.alias(",".join(schema.names)))
+            lines.write.mode("overwrite").option("header", True).option("sep", "\u0001").csv(path)  # lines as they are
+            accepted, rejects = load_csv(store, path, schema, f"payments_{drop}", most=wh.raw.order_payments.count())
+            both = accepted.select(F.lit(0).alias("bad")).unionByName(rejects.select(F.lit(1).alias("bad")))
+            counts.append(both.agg(F.count_if(F.col("bad") == 0).alias("accepted"), F.count_if(F.col("bad") == 1).alias("rejected")).select(F.lit(f"drop-{drop}").alias("file"), "accepted", "rejected"))
+        return union_all(counts)
+
+    return wh.once("csv_rejects", run)
+
+
+# columns that facts carry over from staging unchanged
+_CARRIED = {
+    ("stg_order_items", "fact_order_items"): ["order_id", "order_item_id", "price", "freight_value"],
+    ("stg_payments", "fact_payments"): ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
+    ("stg_reviews", "fact_reviews"): ["review_id", "order_id", "review_score"],
+    ("stg_orders", "dim_order"): ["order_id", "order_status"],
+}
+
+
+def carried_content(wh):
+    """Rows of each table, and whether what it carries over from staging is the same multiset of rows there and here."""
+
+    def told(staged, table, columns):
+        both = side_by_side(
+            digest_of(wh[staged], columns).select(*[F.col(c).alias(f"staged_{c}") for c in ("rows", "digest_a", "digest_b")]),
+            digest_of(wh[table], columns),
+        )
+        same = (F.col("rows") == F.col("staged_rows")) & (F.col("digest_a") == F.col("staged_digest_a")) & (F.col("digest_b") == F.col("staged_digest_b"))
+        return both.select(F.lit(table).alias("table_name"), "rows", same.alias("same"))
+
+    return union_all([told(staged, table, columns) for (staged, table), columns in _CARRIED.items()])
+
+
+def _carried_sql() -> str:
+    def part(staged, table, columns):
+        a, b = f"SELECT {', '.join(columns)} FROM {staged}", f"SELECT {', '.join(columns)} FROM {table}"
+        return (
+            f"SELECT '{table}' AS table_name, (SELECT COUNT(*) FROM {table}) AS rows, "
+            f"NOT EXISTS (({a}) EXCEPT ALL ({b})) AND NOT EXISTS (({b}) EXCEPT ALL ({a})) AS same"
+        )
+
+    return "\nUNION ALL\n".join(part(s, t, c) for (s, t), c in _CARRIED.items())
+
+
 def _mirror(wh):
     """The nine raw tables as CSV, loaded into a mirror of their own."""
 
@@ -190,6 +277,7 @@ def _mirror(wh):
         for name in SRC_SCHEMAS:
             write_csv(wh[name], wh.store.path(f"csv/{name}.csv"))
         tables = refresh_mirror(_below(wh, "mirror"), wh.store.path("csv"))
+        check_content({name: (conform(wh[name], schema), tables[name]) for name, schema in SRC_SCHEMAS.items()})
         return union_all([t.agg(F.count(F.lit(1)).alias("total_rows")).select(F.lit(n).alias("table_name"), "total_rows") for n, t in tables.items()])
 
     return wh.once("mirror", run)
@@ -200,6 +288,7 @@ def published(wh):
 
     def run():
         tables = rebuild.publish(wh, _below(wh, "published"))
+        check_content({name: (conform(wh[name], schema), tables[name]) for name, schema in DWH_SCHEMAS.items()})
         money = {"fact_order_items": "price", "fact_payments": "payment_value"}
 
         def summary(name, table):
@@ -242,6 +331,7 @@ _RELEASED_ROWS = {
     "order_totals": "(SELECT COUNT(*) FROM dim_order)",
     "zip_centres": "(SELECT COUNT(*) FROM zip_centres)",
     "order_spine": "(SELECT COUNT(*) FROM dim_order)",
+    "order_sellers": "(SELECT COUNT(*) FROM (SELECT DISTINCT order_key, seller_key FROM fact_order_items))",
     "seller_revenue_ranks": """(SELECT COUNT(DISTINCT revenue) FROM (SELECT SUM(price) AS revenue FROM fact_order_items
         WHERE seller_key IS NOT NULL GROUP BY seller_key))""",
 }
@@ -292,10 +382,7 @@ def _ledger_sql() -> str:
 _MONEY, _MONEY20 = "DECIMAL(38,2)", "DECIMAL(20,2)"
 _VALUES = {"fact_order_items": f"CAST(SUM(price) AS {_MONEY})", "fact_payments": f"CAST(SUM(payment_value) AS {_MONEY})"}
 
-QUERIES = {
-    "h_scd2": (
-        scd2,
-        f"""
+_SCD2 = f"""
         SELECT s.* EXCLUDE (moved), DATE '{SINCE}' AS valid_from, CASE WHEN moved THEN DATE '{AS_OF}' END AS valid_to, NOT moved AS is_current
         FROM (SELECT d.*, s_acctbal < 0 AS moved FROM dim_seller d JOIN supplier ON seller_id = CAST(s_suppkey AS VARCHAR)) s
         UNION ALL
@@ -303,7 +390,21 @@ QUERIES = {
                latitude, longitude, DATE '{AS_OF}', NULL, TRUE
         FROM (SELECT seller_id, 'RIO DE JANEIRO' AS city, state, zip_code, country, latitude, longitude
               FROM dim_seller JOIN supplier ON seller_id = CAST(s_suppkey AS VARCHAR) WHERE s_acctbal < 0
-              UNION ALL SELECT 'stall-' || n_nationkey, upper(n_name), upper(n_name), NULL, NULL, NULL, NULL FROM nation)""",
+              UNION ALL SELECT 'stall-' || n_nationkey, upper(n_name), upper(n_name), NULL, NULL, NULL, NULL FROM nation)"""
+
+QUERIES = {
+    "h_scd2": (scd2, _SCD2),
+    "h_scd2_twice": (
+        scd2_twice,
+        f"""
+        SELECT * FROM (WITH h AS ({_SCD2}), moved AS (
+            SELECT h.* FROM h JOIN supplier ON seller_id = CAST(s_suppkey AS VARCHAR) WHERE is_current AND s_suppkey % 5 = 0 AND city <> '{LATER_CITY}')
+        SELECT * EXCLUDE (expires) REPLACE (CASE WHEN expires THEN DATE '{LATER}' ELSE valid_to END AS valid_to, is_current AND NOT expires AS is_current)
+        FROM (SELECT h.*, seller_key IN (SELECT seller_key FROM moved) AS expires FROM h)
+        UNION ALL
+        SELECT * REPLACE ((SELECT MAX(seller_key) FROM h) + row_number() OVER (ORDER BY seller_id) AS seller_key, '{LATER_CITY}' AS city,
+                          DATE '{LATER}' AS valid_from)
+        FROM moved)""",
     ),
     "h_undo_scd2": (undo_scd2, "SELECT * FROM dim_seller"),
     "h_incremental": (incremental, _INCREMENT),
@@ -328,6 +429,12 @@ QUERIES = {
         f"SELECT order_id, order_item_id, {key8('delivered_customer_date')} AS delivered_date_key FROM fact_order_items",
     ),
     "io_csv_roundtrip": (csv_roundtrip, "SELECT * FROM src_reviews"),
+    "io_csv_rejects": (
+        csv_rejects,
+        f"""SELECT 'drop-' || CAST(k % {DROPS} AS VARCHAR) AS file, COUNT(*) FILTER (NOT bad) AS accepted, COUNT(*) FILTER (bad) AS rejected
+            FROM (SELECT k, k % 13 = 0 OR k % 17 = 0 OR k % 19 = 0 AS bad FROM (SELECT CAST(order_id AS BIGINT) AS k FROM src_payments)) GROUP BY 1""",
+    ),
+    "dq_content": (carried_content, _carried_sql()),
     "io_mirror_refresh": (
         _mirror,
         "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, COUNT(*) AS total_rows FROM {SRC[t]}" for t in SRC_SCHEMAS),

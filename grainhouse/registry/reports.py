@@ -59,6 +59,8 @@ _LATE_COLUMNS = f"{_LATE} AS late_orders, {_DELIVERED} AS delivered_orders, {per
 _DELIVERY = "order_delivery od LEFT JOIN fact_reviews fr ON od.order_key = fr.order_key"
 _DBUCKET = case("actual_days", labels.DELIVERY_STEPS, labels.DELIVERY_REST, missing="N/A")
 
+SELLER_STATES, CUSTOMER_STATES = [f"NATION_{k}" for k in range(12)], ["NATION_3", "NATION_7", "NATION_12"]
+
 QUERIES = {
     "r_monthly_items": (
         r.monthly_items,
@@ -262,6 +264,22 @@ QUERIES = {
             FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key JOIN dim_date ON purchase_date_key = date_key
             JOIN dim_product_grouped p ON f.product_key = p.product_key WHERE category_group = 'Home & Furniture' GROUP BY year, month""",
     ),
+    "r_page_geography_customer": (
+        r.geography_customers,
+        f"""SELECT o.state AS customer_state, CAST(SUM(price) AS {_MONEY}) AS revenue, COUNT(DISTINCT f.order_id) AS orders
+            FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key GROUP BY o.state""",
+    ),
+    "r_page_geography_seller": (
+        r.geography_sellers,
+        f"""SELECT s.state AS seller_state, CAST(SUM(price) AS {_MONEY}) AS revenue, COUNT(DISTINCT f.order_id) AS orders, COUNT(DISTINCT f.seller_key) AS sellers
+            FROM fact_order_items f JOIN dim_seller s ON f.seller_key = s.seller_key GROUP BY s.state""",
+    ),
+    "r_page_geography_sliced": (
+        lambda wh: r.geography_sellers(wh, SELLER_STATES, CUSTOMER_STATES),
+        f"""SELECT s.state AS seller_state, CAST(SUM(price) AS {_MONEY}) AS revenue, COUNT(DISTINCT f.order_id) AS orders, COUNT(DISTINCT f.seller_key) AS sellers
+            FROM fact_order_items f JOIN dim_seller s ON f.seller_key = s.seller_key JOIN dim_order o ON f.order_key = o.order_key
+            WHERE s.state IN {tuple(SELLER_STATES)} AND o.state IN {tuple(CUSTOMER_STATES)} GROUP BY s.state""",
+    ),
     "r_page_delivery": (
         r.late_by_state_top,
         f"""SELECT o.state AS customer_state, {_LATE_COLUMNS} FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key

@@ -92,6 +92,9 @@ _MIRROR = {
     "order_spine": "order_id:s customer_id:s order_status:s order_purchase_timestamp:t order_approved_at:t "
     "order_delivered_carrier_date:t order_delivered_customer_date:t order_estimated_delivery_date:t order_key:l customer_key:l "
     "city:s state:s zip_code:s latitude:lat longitude:lng country:s purchase_date_key:i",
+    "order_sellers": "order_key:l seller_key:l purchase_date_key:i item_rows:l dated_rows:l price:m20 freight_value:m20 actual_days:i "
+    "order_status:s customer_city:s customer_state:s seller_id:s seller_city:s seller_state:s distance:f route_type:s handling_minutes:l "
+    "transit_minutes:l first_of_state:b first_of_distance:b first_of_route:b",
     "zip_centres": "zip_code_prefix:s latitude:lat longitude:lng",
     "seller_revenue_ranks": "revenue:m38 n:l pct_rank:f",
 }
