@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
@@ -54,6 +55,18 @@ def broadcast_checked(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame
     return F.broadcast(side) if side.limit(limit + 1).count() <= limit else side
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Jobs run inside hand Python workers batches of at most ``size``, whatever the length of rows; the setting is put back after."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def values(batch: pa.RecordBatch, name: str) -> list[Any]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

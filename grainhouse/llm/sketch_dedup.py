@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grainhouse.llm.common import batch_of, broadcast_checked, runs, texts, values
+from grainhouse.llm.common import batch_of, broadcast_checked, runs, small_batches, texts, values
 from grainhouse.llm.components import connected_components
 from grainhouse.sources.store import Store
 
@@ -105,15 +105,17 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 _SKETCH = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())]
+    + [("_text", pa.string())]
 )
 
 
 def sketch_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, bands, sketch) of every row; node is a 128-bit hash of the set, null for texts without words."""
+    """(doc_id, n_shingles, node, bands, sketch, _text) of every row; node is a 128-bit hash of the set, null for texts without
+    words, and ``_text`` tells rows without a doc_id apart."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, own = texts(batch), values(batch, "doc_id")
+            found, own, named = texts(batch), values(batch, "doc_id"), batch.column("_text")
             for start, end in runs(map(len, found), BATCH_CHARS):
                 sets = [shingles(t) for t in found[start:end]]
                 rows = sketches(sets)
@@ -124,10 +126,15 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), flat)
                 short = _mix(rows).astype(np.uint8)  # eight bits a coordinate: enough to count those that agree
                 node = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                yield batch_of(_SKETCH, own[start:end], [*map(len, sets)], node, lists, [r.tobytes() for r in short])
+                kept = named.slice(start, end - start)
+                yield batch_of(_SKETCH, own[start:end], [*map(len, sets)], node, lists, [r.tobytes() for r in short], kept)
 
-    fields = "doc_id long, n_shingles long, node binary, bands array<long>, sketch binary"
-    return docs.select("doc_id", "text").mapInArrow(sketch, fields)
+    fields = "doc_id long, n_shingles long, node binary, bands array<long>, sketch binary, _text string"
+    return docs.select("doc_id", "text", _text_of_nameless()).mapInArrow(sketch, fields)
+
+
+def _text_of_nameless() -> Column:
+    return F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("_text")
 
 
 def _several(held: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -169,6 +176,20 @@ def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame, percent:
     return held.join(least, "bucket").where(reach).drop("_least")
 
 
+def _until_settled(held: DataFrame, sets: DataFrame, places: DataFrame, percent: int, store: Store, name: str) -> tuple[DataFrame, str]:
+    """The rows within reach, repeated without those that are not and without buckets of one component, until none leaves; and
+    the name of the table that holds them."""
+    columns, before, step = held.columns, held.count(), 0
+    while True:
+        now = store.overwrite(_several(_within_reach(held.select(*columns), sets, places, percent))[0], f"{name}_{step}")
+        left = now.count()
+        if step:
+            store.remove(f"{name}_{step - 1}")
+        if left == before:
+            return now, f"{name}_{step}"
+        held, before, step = now, left, step + 1
+
+
 def _centres(held: DataFrame, many: int, percent: int, store: Store, name: str) -> tuple[DataFrame, DataFrame]:
     """(pairs to compare, members that stay) of buckets that hold several components.
 
@@ -261,6 +282,17 @@ def near_duplicates(docs: DataFrame, store: Store, percent: int = PERCENT) -> Da
     part in their component, is never its name, and is kept only where no row of its component has a doc_id.
     Other columns are ignored.
     """
+    judged = _judged(docs, store, percent)
+    return judged.select("doc_id", "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def _judged(docs: DataFrame, store: Store, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, node, component, component_id, _text) of every row."""
+    with small_batches(docs.sparkSession):
+        return _components(docs, store, percent)
+
+
+def _components(docs: DataFrame, store: Store, percent: int) -> DataFrame:
     found = store.overwrite(sketch_documents(docs), "sketches")
     nodes = found.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("_doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
@@ -280,21 +312,22 @@ def near_duplicates(docs: DataFrame, store: Store, percent: int = PERCENT) -> Da
     labels = spark.createDataFrame([], "node binary, component binary")
     k, sets = 0, None
     while True:
-        held = members.withColumn("component", F.col("node"))
+        held, passing = members.withColumn("component", F.col("node")), []
         if k:
             held = store.overwrite(_several(_labelled(members, labels))[0], f"open_{k}")
             if held.isEmpty():
                 break
             if sets is None:  # of all nodes that are left, for this round and the later ones
                 sets = sets_of(held.select("node").distinct(), "sets")
-            held = store.overwrite(_within_reach(held, sets, places, percent), f"held_{k}")
+            held, last = _until_settled(held, sets, places, percent, store, f"held_{k}")
+            passing.append(last)
         pairs, rest = _centres(held, 1 << k, percent, store, f"centres_{k}")
         pairs = store.overwrite(pairs, f"pairs_{k}")
         members = store.overwrite(rest, f"members_{k + 1}")
         plausible = store.overwrite(_plausible(pairs, nodes, percent), f"plausible_{k}")
         full = sets if sets is not None else sets_of(plausible.select(F.col("a").alias("node")).union(plausible.select("b")).distinct(), f"sets_{k}")
         new = store.overwrite(_confirm(plausible, full, percent), f"links_{k}")
-        for name in (f"members_{k}", f"sets_{k}", f"open_{k}", f"held_{k}", f"centres_{k}", f"pairs_{k}", f"plausible_{k}"):
+        for name in (f"members_{k}", f"sets_{k}", f"open_{k}", *passing, f"centres_{k}", f"pairs_{k}", f"plausible_{k}"):
             store.remove(name)
         if not new.isEmpty():
             # the components so far are stars, which stand for the links that made them
@@ -305,23 +338,27 @@ def near_duplicates(docs: DataFrame, store: Store, percent: int = PERCENT) -> Da
     named = nodes.select("node", "_doc_id").join(labels, "node", "left")
     named = named.select("node", "_doc_id", F.coalesce("component", "node").alias("component"))
     ids = named.groupBy("component").agg(F.min("_doc_id").alias("component_id"))
-    named = store.overwrite(named.join(ids, "component").select("node", "component_id"), "named")
-    out = found.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    named = store.overwrite(named.join(ids, "component").select("node", "component", "component_id"), "named")
+    out = found.select("doc_id", "n_shingles", "node", "_text").join(named, "node", "left")
+    return out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, store: Store, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns; of rows with one doc_id and one text, one.
 
-    A doc_id of several texts stays if one of them is kept.
+    A doc_id of several texts stays if one of them is kept. Of the rows without a doc_id of a component one stays, if no row of
+    the component has a doc_id: the one whose text has the smallest hash.
     """
-    judged = store.overwrite(near_duplicates(docs, store, percent), "judged")
-    fate = judged.groupBy("doc_id").agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-    gone = fate.where("not _kept").select("doc_id")
-    stay = docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti")
+    judged = store.overwrite(_judged(docs, store, percent).drop("n_shingles"), "judged")
+    judged = judged.withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
+    fate = judged.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
+    stay = docs.where("doc_id IS NOT NULL").join(fate.where("not _kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
     repeated = fate.where("_kept and _rows > 1").select("doc_id")
-    once = stay.join(repeated, stay.doc_id.eqNullSafe(repeated.doc_id), "left_anti")
-    return once.unionByName(
-        stay.join(repeated, stay.doc_id.eqNullSafe(repeated.doc_id), "left_semi").dropDuplicates(["doc_id", "text"])
-    )
+    once = stay.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    one = stay.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    # a text without words is a component of its own
+    nameless = judged.where("doc_id IS NULL AND component_id IS NULL").withColumn("_own", F.coalesce(F.hex("component"), F.hex("node"), "_text"))
+    texts_kept = nameless.groupBy("_own").agg(F.min("_text").alias("_kept_text")).select("_kept_text")
+    rows = docs.where("doc_id IS NULL")
+    first = rows.join(texts_kept, _text_of_nameless() == F.col("_kept_text"), "left_semi").dropDuplicates(["text"])
+    return once.unionByName(one).unionByName(first)

@@ -18,7 +18,7 @@ from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
 from support import by_id, documents, folder_texts, shipped  # noqa: F401
 
-from grainhouse.llm import byte_pairs, filter_audit, repair, sql, variants
+from grainhouse.llm import byte_pairs, filter_audit, repair, sketch_dedup, sql, variants
 from grainhouse.llm.queries import queries
 from tools.compare import canonical
 
@@ -303,3 +303,20 @@ def test_word_ids_before_stops_and_commas():
         expected = encoder.library.encode_batch_fast(cases, add_special_tokens=False)
         found = [ids[end - size : end - 1].tolist() for end, size in zip(ends, sizes.tolist(), strict=True)]
         assert found == [e.ids for e in expected]
+
+
+# --- 10 near duplicates: rows without a doc_id
+
+
+def test_one_of_the_near_copies_without_an_id_stays(spark, store):
+    words = [f"w{k}" for k in range(100)]
+    copy, near, other = " ".join(words), " ".join([*words[:99], "end"]), " ".join(f"v{k}" for k in range(50))
+    rows = [(None, copy), (None, near), (None, copy), (None, other), (None, ""), (None, None), (7, other + " x"), (8, "alone"), (9, "alone"), (9, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("theirs") for c in ("_text", "component", "node")})
+    kept = sketch_dedup.drop_near_duplicates(docs, store)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted((d, t) for d, t in found if d is not None) == [(7, other + " x"), (8, "alone")]
+    nameless = [t for d, t in found if d is None]
+    assert len([t for t in nameless if t in (copy, near)]) == 1 and other not in nameless
+    assert {t or "" for t in nameless} == {"", *[t for t in nameless if t in (copy, near)]}
