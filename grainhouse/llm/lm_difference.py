@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainhouse.llm.common import batch_of, broadcast_checked, scratch, texts, values
+from grainhouse.llm.common import batch_of, broadcast_checked, scratch, small_batches, texts, values
 from grainhouse.sources.store import Store
 
 SYMBOLS = 2048  # the unigram model has room for so many symbols at least
@@ -349,7 +349,8 @@ def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
-        return _scored(docs, target_ids, scratch(spark, "difference"))
+        with small_batches(spark):
+            return _scored(docs, target_ids, scratch(spark, "difference"))
     finally:
         spark.conf.set(_CLEANUP, before)
 
