@@ -64,10 +64,15 @@ def attach(wh: Warehouse, fact: DataFrame, columns: Sequence[str], role: str = "
 
 
 def on_orders(
-    wh: Warehouse, by: Sequence[str], *values: Column, where: Column | None = None, role: str = "purchase"
+    wh: Warehouse,
+    by: Sequence[str],
+    *values: Column,
+    where: Column | None = None,
+    role: str = "purchase",
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """Aggregate the order mirror by order and date columns."""
-    rows = attach(wh, wh.orders, by, role)
+    """Aggregate the order mirror, or the rows of it that a slicer has left, by order and date columns."""
+    rows = attach(wh, wh.orders if orders is None else orders, by, role)
     rows = rows if where is None else rows.where(where)
     return rows.groupBy(*by).agg(*values)
 
@@ -287,20 +292,22 @@ def review_distribution(wh: Warehouse) -> DataFrame:
     return share_of_total(scores, "reviews", "pct")
 
 
-def points_lost(wh: Warehouse, by: Sequence[str] = ("customer_state",)) -> DataFrame:
-    """Mean delivered score of orders on time minus that of late orders.
+def points_lost_columns() -> list[Column]:
+    """Mean delivered score of orders on time, of late orders, and the difference, for a grouped order mirror.
 
     A missing delay counts as zero, so delivered orders without a date are on time.
     """
     delay = F.coalesce(F.col("delay_days"), F.lit(0))
     on_time, late = mean_score(labels.is_delivered() & (delay <= 0)), mean_score(labels.is_delivered() & (delay > 0))
-    return on_orders(
-        wh,
-        by,
+    return [
         F.round(on_time, 6).alias("avg_score_on_time"),
         F.round(late, 6).alias("avg_score_late"),
         F.round(on_time - late, 6).alias("points_lost"),
-    )
+    ]
+
+
+def points_lost(wh: Warehouse, by: Sequence[str] = ("customer_state",)) -> DataFrame:
+    return on_orders(wh, by, *points_lost_columns())
 
 
 # --- payments ---------------------------------------------------------------------

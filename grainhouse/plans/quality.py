@@ -299,18 +299,32 @@ def expected_counts(wh: Warehouse, expected: DataFrame) -> DataFrame:
     return union_all([rows, nulls])
 
 
+def unsteady_sorts(df: DataFrame, label: str, sort: str) -> DataFrame:
+    """Labels that carry more than one sort value, or none in some rows; rows without a label are left out."""
+    counted = (
+        df.where(F.col(label).isNotNull())
+        .groupBy(label)
+        .agg((F.countDistinct(sort) + F.max(F.col(sort).isNull().cast("int"))).alias("distinct_sorts"))
+    )
+    return counted.where(F.col("distinct_sorts") > 1)
+
+
 def band_sort(wh: Warehouse) -> DataFrame:
     """Duration bands that carry more than one sort value."""
-    pairs = wh.fact_order_items.select(
+    days = wh.fact_order_items.groupBy("actual_delivery_days").agg(F.count(F.lit(1)))
+    pairs = days.select(
         labels.duration_band("actual_delivery_days").alias("duration_band"),
         labels.duration_band_sort("actual_delivery_days").alias("duration_band_sort"),
     )
-    counted = (
-        pairs.where(F.col("duration_band").isNotNull())
-        .groupBy("duration_band")
-        .agg(F.countDistinct("duration_band_sort").alias("distinct_sorts"))
-    )
-    return counted.where(F.col("distinct_sorts") > 1)
+    return unsteady_sorts(pairs, "duration_band", "duration_band_sort")
+
+
+def raw_grains(raw) -> DataFrame:
+    """(table_name, repeated): natural keys of raw tables that occur more than once, where lookups need them unique."""
+    tables = ["customers", "orders", "products", "sellers", "category_translation"]
+    audit = key_audit([(f"grain {t}", 0, getattr(raw, t), GRAINS[t]) for t in tables])
+    found = {(t,): {"repeated": F.count_if((F.col("kind") == f"grain {t}") & (F.col("n0") > 1) & F.col("k1").isNotNull())} for t in tables}
+    return _in_one_row(audit, found, ["table_name"])
 
 
 def column_list(frames: Mapping[str, DataFrame], spark) -> DataFrame:

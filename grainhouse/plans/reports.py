@@ -25,6 +25,7 @@ from grainhouse.functions.scalar import (
 from grainhouse.operators.aggregates import exact_median, share_of_total, side_by_side
 from grainhouse.operators.joins import with_match
 from grainhouse.plans import measures as m
+from grainhouse.plans import slices
 from grainhouse.plans.layers import MONTH, YEAR
 from grainhouse.plans.warehouse import Warehouse
 
@@ -597,14 +598,60 @@ def late_by_state_top(wh: Warehouse, n: int = 10, customer_state: str | None = N
     return m.late_orders(wh, where=where).orderBy(F.col("pct_late").desc(), "customer_state").limit(n)
 
 
-def delivery_cards(wh: Warehouse) -> DataFrame:
-    """Late share, mean delivery days and orders with items, over everything."""
+def sliced_orders(
+    wh: Warehouse, customer_state: Sequence[str] | None = None, seller_state: Sequence[str] | None = None
+) -> DataFrame:
+    """The order mirror as two slicers leave it: the state of the buyer, and the state of a seller of one of its items. Orders
+    never multiply: the mark of one row per order and seller state tells whether an order has one of the states."""
+    orders = wh.orders
+    if customer_state is not None:
+        orders = orders.where(F.col("customer_state").isin(*customer_state))
+    if seller_state is not None:
+        sold = wh.order_sellers.where(F.col("first_of_state") & F.col("seller_state").isin(*seller_state))
+        orders = with_match(orders, sold, "order_key")
+    return orders
+
+
+def overview_cards(wh: Warehouse, category_group: str | None = None) -> DataFrame:
+    """Net item revenue, its share of all, and orders with an item of a category, for one group or for all of them.
+
+    Orders come from the rollup of counts, so that no item is read for them.
+    """
+    chosen = m.category_sales(wh, ["category_group"])
+    orders = wh.order_slices
+    if category_group is None:
+        orders = orders.where(F.exists("pairs", lambda p: p["category_group"].isNotNull()))
+        counted = slices.sliced_counts(orders)
+    else:
+        chosen = chosen.where(F.col("category_group") == category_group)
+        counted = slices.sliced_counts(orders, where={"category_group": [category_group]})
+    both = side_by_side(
+        chosen.agg(money_sum("items_revenue_net").alias("items_revenue_net")),
+        m.net_items(wh).agg(money_sum("price").alias("whole")),
+        counted.select(F.col("orders").alias("orders_category")),
+    )
+    return both.withColumn("pct_net", percent(F.col("items_revenue_net"), F.col("whole"))).drop("whole")
+
+
+def promise_cards(
+    wh: Warehouse, customer_state: Sequence[str] | None = None, seller_state: Sequence[str] | None = None
+) -> DataFrame:
+    """Points lost to lateness, delivered orders and the late share of them."""
+    orders = sliced_orders(wh, customer_state, seller_state)
+    return m.on_orders(wh, [], *m.points_lost_columns(), *m.late_columns(), orders=orders)
+
+
+def delivery_cards(
+    wh: Warehouse, customer_state: Sequence[str] | None = None, seller_state: Sequence[str] | None = None
+) -> DataFrame:
+    """Late share, mean delivery days and orders with items, over everything or what two slicers leave."""
     return m.on_orders(
         wh,
         [],
         *m.late_columns(),
         mean("actual_days").alias("avg_delivery_days"),
         count_where(F.col("items") > 0).alias("orders_items"),
+        orders=sliced_orders(wh, customer_state, seller_state),
     )
 
 

@@ -308,12 +308,14 @@ def create_append(wh):
 
     def run():
         store, schema = _below(wh, "appended"), SCHEMAS["stg_payments"]
-        store.overwrite(wh.spark.createDataFrame([], schema), "stg_payments")
-        store.ensure("stg_payments", schema)
+        store.remove("stg_payments")
+        if not store.ensure("stg_payments", schema).isEmpty():
+            raise ValueError("a new table is empty")
         first = F.col("payment_sequential") == 1
         store.append(wh.stg_payments.where(first), "stg_payments", schema)
         rest = wh.stg_payments.where(~first)
-        return store.append(rest.select(*reversed(rest.columns)), "stg_payments", schema)
+        store.append(rest.select(*reversed(rest.columns)), "stg_payments", schema)
+        return store.ensure("stg_payments", schema)
 
     return wh.once("appended", run)
 

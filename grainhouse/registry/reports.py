@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from grainhouse.functions import labels
+from grainhouse.operators.aggregates import union_all
 from grainhouse.plans import reports as r
 from grainhouse.registry.measures import _DELIVERED, _LATE, _MONEY, _NET, _TRANSIT, avg_days, score
 from grainhouse.registry.oracle import band, case, mean, minutes, per
@@ -61,6 +62,44 @@ _DBUCKET = case("actual_days", labels.DELIVERY_STEPS, labels.DELIVERY_REST, miss
 
 SELLER_STATES, CUSTOMER_STATES = [f"NATION_{k}" for k in range(12)], ["NATION_3", "NATION_7", "NATION_12"]
 
+SLICERS = {"none": (), "customer": (CUSTOMER_STATES,), "seller": (None, SELLER_STATES), "both": (CUSTOMER_STATES, SELLER_STATES)}
+_POINTS = [
+    f"ROUND({k}, 6) AS avg_score_on_time, ROUND({b}, 6) AS avg_score_late, ROUND({k} - {b}, 6) AS points_lost"
+    for k, b in [
+        [
+            f"(CAST(SUM(total) FILTER ({c}) AS DOUBLE) / NULLIF(SUM(n) FILTER ({c}), 0))"
+            for c in ("order_status = 'delivered' AND COALESCE(delay_days, 0) <= 0", "order_status = 'delivered' AND delay_days > 0")
+        ]
+    ]
+]
+
+
+def _cards_sql(name: str, values: list[str]) -> str:
+    """Cards over the orders that two slicers leave."""
+    customers, sellers = [*SLICERS[name], None, None][:2]
+    where = [f"customer_state IN {tuple(customers)}"] if customers else []
+    if sellers:
+        where.append(
+            f"""order_key IN (SELECT f.order_key FROM fact_order_items f JOIN dim_seller s ON f.seller_key = s.seller_key WHERE s.state IN {tuple(sellers)})"""
+        )
+    delivered, late = "COUNT(*) FILTER (order_status = 'delivered' AND items > 0)", "COUNT(*) FILTER (order_status = 'delivered' AND delay_days > 0)"
+    return (
+        f"SELECT '{name}' AS slicers, {', '.join(values)}, {late} AS late_orders, {delivered} AS delivered_orders, {per(late, delivered, 100)} AS pct_late "
+        "FROM order_delivery LEFT JOIN (SELECT order_key, SUM(review_score) AS total, COUNT(review_score) AS n FROM fact_reviews GROUP BY order_key) "
+        f"USING (order_key) {'WHERE ' + ' AND '.join(where) if where else ''}"
+    )
+
+
+def _overview_cards_sql(group: str | None) -> str:
+    items = "fact_order_items f JOIN dim_order o ON f.order_key = o.order_key"
+    chosen = "" if group is None else f"AND category_group = '{group}'"
+    label = "CAST(NULL AS VARCHAR)" if group is None else f"'{group}'"
+    net = f"(SELECT CAST(SUM(price) AS {_MONEY}) FROM {items} JOIN dim_product_grouped p ON f.product_key = p.product_key WHERE {_NET} {chosen})"
+    whole = f"(SELECT SUM(price) FROM {items} WHERE {_NET})"
+    orders = f"(SELECT COUNT(DISTINCT f.order_key) FROM fact_order_items f JOIN dim_product_grouped p ON f.product_key = p.product_key WHERE TRUE {chosen})"
+    return f"SELECT {label} AS category_group, {net} AS items_revenue_net, {orders} AS orders_category, {per(net, whole, 100)} AS pct_net"
+
+
 QUERIES = {
     "r_monthly_items": (
         r.monthly_items,
@@ -264,6 +303,20 @@ QUERIES = {
             FROM fact_order_items f JOIN dim_order o ON f.order_key = o.order_key JOIN dim_date ON purchase_date_key = date_key
             JOIN dim_product_grouped p ON f.product_key = p.product_key WHERE category_group = 'Home & Furniture' GROUP BY year, month""",
     ),
+    "r_page_overview_cards": (
+        lambda wh: union_all([r.overview_cards(wh, g).withColumn("category_group", F.lit(g)) for g in (None, "Home & Furniture")]),
+        "\nUNION ALL\n".join(_overview_cards_sql(g) for g in (None, "Home & Furniture")),
+    ),
+    "r_page_promise_cards": (
+        lambda wh: union_all([r.promise_cards(wh, *s).withColumn("slicers", F.lit(n)) for n, s in SLICERS.items()]),
+        "\nUNION ALL\n".join(_cards_sql(n, _POINTS) for n in SLICERS),
+    ),
+    "r_page_delivery_cards_sliced": (
+        lambda wh: union_all([r.delivery_cards(wh, *s).withColumn("slicers", F.lit(n)) for n, s in SLICERS.items()]),
+        "\nUNION ALL\n".join(
+            _cards_sql(n, [f"{mean('actual_days')} AS avg_delivery_days", "COUNT(*) FILTER (items > 0) AS orders_items"]) for n in SLICERS
+        ),
+    ),
     "r_page_geography_customer": (
         r.geography_customers,
         f"""SELECT o.state AS customer_state, CAST(SUM(price) AS {_MONEY}) AS revenue, COUNT(DISTINCT f.order_id) AS orders

@@ -5,6 +5,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,13 +38,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def input_bytes(*frames: DataFrame) -> int:
-    """Size of the files a set of frames reads, from the planner's statistics."""
-    total = 0
+    """Size of the files a set of frames reads, from the planner's statistics; warns of inputs whose size is not known."""
+    total = unknown = 0
     for df in frames:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
         for i in range(leaves.size()):
             size = int(str(leaves.apply(i).stats().sizeInBytes()))
             total += size if size < 1 << 60 else 0  # frames without files have no usable size
+            unknown += size >= 1 << 60
+    if unknown:
+        warnings.warn(f"{unknown} inputs of unknown size are not counted", stacklevel=2)
     return total
 
 
@@ -60,6 +66,21 @@ def size_shuffles(spark: SparkSession, size: int) -> int:
     return max(wanted, current)
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
+    """Shuffles inside start with enough partitions for ``size`` bytes; the caller's setting is put back after."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    size_shuffles(spark, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def local_session(cores: str = "*", app: str = "grainhouse", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from grainhouse.operators.history import start_history
 from grainhouse.operators.history_table import BUCKET, HistoryTable
 from grainhouse.operators.selection import exact_quantiles, rank_rows
-from grainhouse.plans import measures, rebuild, reports, slices
+from grainhouse.plans import measures, quality, rebuild, reports, slices
+from grainhouse.session import input_bytes, sized_shuffles
 from grainhouse.sources.files import ContentError, RejectedRows, check_content, load_csv, refresh_mirror, write_csv
 from grainhouse.sources.schemas import SCHEMAS, SRC_SCHEMAS
 from grainhouse.sources.store import Store, conform
@@ -259,3 +260,53 @@ def test_pairs_mark_one_row_per_state_distance_and_route(warehouse):
     for column, flag in [("seller_state", "first_of_state"), ("distance", "first_of_distance"), ("route_type", "first_of_route")]:
         groups = pairs.where("seller_key IS NOT NULL").groupBy("order_key", column).agg(F.count_if(flag).alias("n"))
         assert groups.where("n <> 1").count() == 0
+
+
+# --- checks before and around a load
+
+
+def test_repeated_keys_of_lookups_stop_a_rebuild(spark, warehouse, store):
+    class Raw:
+        def __getattr__(self, name):
+            table = getattr(warehouse.raw, name)
+            return table.unionByName(table.limit(3)) if name == "category_translation" else table
+
+    assert {r.table_name: r.repeated for r in quality.raw_grains(warehouse.raw).collect()}["category_translation"] == 0
+    with pytest.raises(rebuild.GateError, match="category_translation"):
+        rebuild.rebuild(Raw(), store, "bad")
+    assert not store.exists("current")
+    with pytest.raises(FileExistsError):
+        rebuild.rebuild(warehouse.raw, store, "bad")
+
+
+def test_a_label_with_two_places_is_found(frame):
+    rows = [("a", 1), ("a", 1), ("b", 2), ("b", 3), ("c", None), ("c", 4), (None, 9)]
+    assert rows_of(quality.unsteady_sorts(frame(rows, "label string, place int"), "label", "place")) == [("b", 2), ("c", 2)]
+
+
+def test_shuffle_width_is_put_back(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with sized_shuffles(spark, 1 << 40):
+        assert spark.conf.get(key) == "4096"
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "9")
+    try:
+        with sized_shuffles(spark, 1 << 40):
+            assert spark.conf.get(key) == "4096"
+        assert spark.conf.get(key) == "9"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_inputs_of_unknown_size_are_told(frame):
+    with pytest.warns(UserWarning, match="1 inputs"):
+        assert input_bytes(frame([(1,)], "n int").rdd.toDF()) >= 0
+
+
+def test_slicers_never_multiply_orders(warehouse):
+    every = [f"NATION_{k}" for k in range(25)]
+    sliced = reports.sliced_orders(warehouse, every, every)
+    assert sliced.count() == sliced.select("order_key").distinct().count() == warehouse.orders.where("items > 0").count()
+    assert reports.sliced_orders(warehouse, ["nowhere"]).isEmpty() and reports.sliced_orders(warehouse, None, ["nowhere"]).isEmpty()
+    card = reports.promise_cards(warehouse, seller_state=["nowhere"]).first()
+    assert card.delivered_orders == 0 and card.points_lost is None and card.pct_late is None
