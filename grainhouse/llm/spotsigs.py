@@ -39,8 +39,11 @@ def _chains(found: Column) -> Column:
 
     def spot(word: Column, at: Column) -> Column:
         content = F.filter(F.slice(found, at + 2, F.lit(REACH)), lambda w: ~w.isin(ANCHORS))
-        chain = F.xxhash64(word, *[F.get(content, F.lit(k)) for k in range(CHAIN)])
-        return F.when(word.isin(ANCHORS) & (F.size(content) >= CHAIN), chain)
+        # an array of one binds the content words, which would be found anew wherever they are named
+        chain = F.transform(
+            F.array(content), lambda c: F.when(F.size(c) >= CHAIN, F.xxhash64(word, *[F.get(c, F.lit(k)) for k in range(CHAIN)]))
+        )
+        return F.when(word.isin(ANCHORS), F.get(chain, F.lit(0)))
 
     return F.array_compact(F.transform(found, spot))
 
@@ -97,10 +100,11 @@ def _run_of(cuts: list[int]) -> Column:
 
 
 def with_next_text(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text): the text of the next row in descending doc_id, after the last the first; null ids come last.
+    """(doc_id, text, spots, next_text, next_spots): text and signatures of a row and of the next one in descending doc_id, after the last the
+    first; null ids come last.
 
     Rows are dealt into runs of ids, and the first row of the next run joins each run as a guest, so no window sees more than a run. Rows that share a
-    doc_id are ordered by a hash of their text. Null texts are empty.
+    doc_id are ordered by a hash of their text. Null texts are empty. Signatures are made once a row, behind the shuffle and before the window.
     """
     spark = docs.sparkSession
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -113,8 +117,12 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     hosts = F.broadcast(spark.createDataFrame(guests, "_run int, _id long"))
     invited = plain.join(hosts, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text", "_run", F.lit(1).alias("_guest"))
     rows = placed.withColumn("_guest", F.lit(0)).unionByName(invited)
-    order = Window.partitionBy("_run").orderBy("_guest", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
-    return rows.withColumn("next_text", F.lead("text").over(order)).where("_guest = 0").select("doc_id", "text", "next_text")
+    order = ["_guest", F.desc_nulls_last("doc_id"), "_hash"]
+    rows = rows.withColumn("_hash", F.xxhash64("text")).repartition("_run").sortWithinPartitions("_run", *order)
+    rows = rows.withColumn("_words", words(F.col("text"))).withColumn("spots", signatures(F.col("_words"))).drop("_words")
+    window = Window.partitionBy("_run").orderBy(*order)
+    found = rows.withColumns({f"next_{c}": F.lead(c).over(window) for c in ("text", "spots")})
+    return found.where("_guest = 0").select("doc_id", "text", "spots", "next_text", "next_spots")
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
@@ -126,11 +134,10 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     rows = with_next_text(docs)
     cut = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - cut), F.substring("next_text", F.lit(1), cut))
-    rows = rows.select("doc_id", "text", "next_text", edited.alias("_edited"))
-    sets = {"_own": "text", "_edit": "_edited", "_next": "next_text"}
-    kept = ["doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256")]
-    rows = rows.select(*kept, *[words(F.col(source)).alias(name) for name, source in sets.items()])
-    rows = rows.withColumns({name: signatures(F.col(name)) for name in sets})
+    rows = rows.select("doc_id", "text", F.col("spots").alias("_own"), F.col("next_spots").alias("_next"), edited.alias("_edited"))
+    kept = ["doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"), "_own", "_next"]
+    rows = rows.select(*kept, words(F.col("_edited")).alias("_edit"))
+    rows = rows.withColumn("_edit", signatures(F.col("_edit")))
     return rows.select(
         "doc_id",
         "n_chars",
