@@ -3,10 +3,12 @@
 A document is first measured: words, symbols, repeated lines, repeated word triples. Base limits reject what is too short or
 repeats itself for the most part. Beyond them, one cutoff per rule and stratum (language) rejects more. Cutoffs come from labelled
 rows: within a stratum, a rule's cutoffs are tried from the mildest to the strictest, and each is taken on only if the holdout shows that
-it rejects at most ``RISK`` of the good documents: the exact binomial probability of so few false rejections, were the true rate
-``RISK``, must not exceed the rule's share of ``ERROR``. A rule ends at its first failure, which keeps its error at that share
+it rejects at most the rule's share of ``RISK`` of the good documents: the exact binomial probability of so few false rejections, were
+the true rate that share, must not exceed the rule's part of ``ERROR``. A rule ends at its first failure, which keeps its error at that part
 (fixed-sequence testing); rules and strata divide ``ERROR`` by Holm's step-down. So with confidence 1 - ``ERROR`` no cutoff of
-any stratum rejects more than ``RISK`` of its good documents. Where labels are too few to show that, the rule stays silent.
+any stratum rejects more of its good documents than its share, and a document that some rule rejects is counted in the union: all rules together
+reject at most ``RISK`` of the good documents of a stratum. Where labels are too few to show that, a rule stays silent; the first
+sequence that fails at its mildest cutoff ends the ranking, so that small strata behind it are silent, too.
 """
 
 from __future__ import annotations
@@ -26,15 +28,15 @@ _OTHERS = bytes(sorted(set(range(256)) - set(SYMBOLS)))
 _CONTINUED = bytes(range(128, 192))  # bytes inside a code point
 _BLANKS = b" \t\n\x0b\x0c\r"
 
-RISK = 0.01
+RISK = 0.05  # of the good documents of a stratum, for all rules together
 ERROR = 0.05
 #: Cutoffs of each rule, mildest first; a document fails where its value is above.
 CUTOFFS = {
-    "symbol_rate": [3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05],
-    "dup_line_rate": [0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1],
-    "repeat_rate": [0.48, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1],
-    "short_words": [-2.5, -3.0, -3.5, -3.75, -4.0, -4.25, -4.5],  # mean characters of a word, negated
-    "long_words": [20.0, 15.0, 12.0, 10.0, 9.0, 8.0, 7.0, 6.5],
+    "symbol_rate": [3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05, 0.03, 0.02, 0.01, 0.0],
+    "dup_line_rate": [0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.0],
+    "repeat_rate": [0.48, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.0],
+    "short_words": [-2.5, -3.0, -3.5, -3.75, -4.0, -4.25, -4.5, -4.75, -5.0, -5.25],  # mean characters of a word, negated
+    "long_words": [20.0, 15.0, 12.0, 10.0, 9.0, 8.0, 7.0, 6.5, 6.25, 6.0, 5.75, 5.5],
 }
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -120,7 +122,8 @@ def upper_bound(k: int, n: int, error: float) -> float:
 
 
 def choose_cutoffs(good: dict[str, int], failed: dict[tuple[str, str], list[int]], risk: float, error: float) -> dict[tuple[str, str], float]:
-    """The strictest safe cutoff of each (stratum, rule) from good holdout rows and how many of them fail each cutoff.
+    """The strictest safe cutoff of each (stratum, rule) from good holdout rows and how many of them fail each cutoff; ``risk`` is that of
+    one rule.
 
     Holm: the sequences are ranked by the probability of their mildest cutoff; the i-th of m gets ``error / (m - i)``, and the
     first whose mildest cutoff fails ends the ranking.
@@ -151,7 +154,7 @@ def calibrate(measured: DataFrame, labels: DataFrame, risk: float = RISK, error:
     ]
     rows = good.groupBy(F.coalesce("stratum", F.lit("")).alias("_stratum")).agg(F.count(F.lit(1)).alias("_good"), *counts).collect()
     failed = {(r["_stratum"], rule): [r[f"{rule}_{n}"] for n in range(len(cuts))] for r in rows for rule, cuts in CUTOFFS.items()}
-    return choose_cutoffs({r["_stratum"]: r["_good"] for r in rows}, failed, risk, error)
+    return choose_cutoffs({r["_stratum"]: r["_good"] for r in rows}, failed, risk / len(CUTOFFS), error)
 
 
 def verdict(cutoffs: dict[tuple[str, str], float]) -> F.Column:

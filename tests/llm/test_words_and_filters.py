@@ -18,7 +18,7 @@ from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
 from support import by_id, documents, folder_texts, shipped  # noqa: F401
 
-from grainhouse.llm import byte_pairs, filter_audit, repair, sketch_dedup, sql, variants
+from grainhouse.llm import byte_pairs, filter_audit, quality_rules, repair, sketch_dedup, sql, variants
 from grainhouse.llm.queries import queries
 from tools.compare import canonical
 
@@ -320,3 +320,20 @@ def test_one_of_the_near_copies_without_an_id_stays(spark, store):
     nameless = [t for d, t in found if d is None]
     assert len([t for t in nameless if t in (copy, near)]) == 1 and other not in nameless
     assert {t or "" for t in nameless} == {"", *[t for t in nameless if t in (copy, near)]}
+
+
+# --- 1 quality rules: what all rules together reject
+
+
+def test_all_rules_together_keep_the_risk():
+    """Draws of labelled rows from known rates: the union of the chosen cutoffs rejects more than the risk in at most the error's share."""
+    rng = np.random.default_rng(7)
+    rules = {rule: 0.0004 * 1.7 ** np.arange(len(cuts)) for rule, cuts in quality_rules.CUTOFFS.items()}  # true rejections by cutoff
+    strata, trials, broken, chosen_at_all = {"x": 3000, "y": 900}, 200, 0, 0
+    for _ in range(trials):
+        failed = {(s, r): [int((u < rate).sum()) for rate in rates] for s, n in strata.items() for r, rates in rules.items() for u in [rng.random(n)]}
+        chosen = quality_rules.choose_cutoffs(strata, failed, quality_rules.RISK / len(rules), quality_rules.ERROR)
+        true = {s: sum(rules[r][quality_rules.CUTOFFS[r].index(cut)] for (t, r), cut in chosen.items() if t == s) for s in strata}
+        broken += any(total > quality_rules.RISK for total in true.values())
+        chosen_at_all += len(chosen) == len(failed)
+    assert broken <= quality_rules.ERROR * trials and chosen_at_all > trials / 2
