@@ -28,6 +28,8 @@ HEADLINE = [
     "m_revenue_kinds", "m_net_share", "m_delivered_late", "m_handling_share_top10", "m_points_lost", "m_payment_mix",
     "dq_payment_fanout", "dq_missing_keys", "dq_grain_dups", "dq_payment_item_gap", "dq_revenue_bridge",
     "h_scd2", "h_incremental",
+    "dq_orphans", "dq_key_population", "dq_gates", "ctx_sliced_counts", "r_page_geography_seller", "win_rank_rows", "h_scd2_twice",
+    "h_incremental_load", "rebuild_gates", "io_open_current",
 ]
 
 
