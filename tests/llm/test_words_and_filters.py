@@ -115,6 +115,21 @@ def test_documents_round_trip(spark, folder_texts, library):
         assert row.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_byte_pairs_of_odd_rows(spark, library):
+    rows = [(1, None), (2, ""), (3, " \n\t "), (4, "long text, " * 20_000), (5, "same"), (5, "same"), (None, "no id"), (None, None), (7, "x" * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("theirs") for c in ("ids", "n_tokens", "data")})
+    found = byte_pairs.round_trip_digests(docs, RANKS, PATTERN).collect()
+    expected = []
+    for doc_id, text in rows:
+        ids = library.encode_ordinary(text or "")
+        expected.append((doc_id, len(ids), hashlib.sha256(packed(ids)).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    encoded = byte_pairs.encode_documents(docs, RANKS, PATTERN)
+    assert byte_pairs.decode_documents(encoded, RANKS, PATTERN).count() == len(rows)
+    for made in (byte_pairs.round_trip_digests, byte_pairs.encode_documents):
+        assert made(docs.where("false"), RANKS, PATTERN).collect() == []
+
+
 # --- 12 filter audit
 
 
