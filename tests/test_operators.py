@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from grainhouse.operators import aggregates as a
 from grainhouse.operators import joins as j
+from grainhouse.operators import keys
 from grainhouse.operators.keys import number_rows, number_within, percent_rank_weights, with_surrogate_key
 
 
@@ -55,6 +56,21 @@ def test_numbering_within_groups(frame, store, skewed, many_partitions):
     assert rows_of(got.select("g", "i", "n")) == sorted(want, key=repr)
 
 
+def test_numbering_takes_one_shuffle_of_ordinary_groups(frame, store, skewed, monkeypatch, many_partitions):
+    written, overwrite = [], store.overwrite
+    monkeypatch.setattr(store, "overwrite", lambda df, name, *more: written.append(name) or overwrite(df, name, *more))
+    df = frame(skewed, "g string, i int, v int")
+    plain = rows_of(number_within(df, "g", ["v", "i"], "n", store, "plain"))
+    assert written == ["plain_large", "plain"] and not store.exists("plain_large")
+    # a group above the limit is spread over tasks, the others stay on the short way, and the numbers are the same
+    monkeypatch.setattr(keys, "LARGE_GROUP", 100)
+    assert rows_of(number_within(df, "g", ["v", "i"], "n", store, "mixed")) == plain
+    assert written[2:] == ["mixed_large", "mixed_placed", "mixed"]
+    assert rows_of(number_within(df.withColumn("g", F.lit(None).cast("string")), "g", ["i"], "n", store, "null").select("i", "n")) == rows_of(
+        df.select("i", (F.col("i") + 1).cast("long"))
+    )
+
+
 def test_numbering_keeps_the_group_without_a_key(frame, store):
     got = number_within(frame([(None, 2), ("a", 9), (None, 1)], "g string, i int"), "g", ["i"], "n", store, "nulls")
     assert rows_of(got.select("g", "i", "n")) == [("a", 9, 1), (None, 1, 1), (None, 2, 2)]

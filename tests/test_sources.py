@@ -12,7 +12,7 @@ from grainhouse.plans.measures import net_share
 from grainhouse.plans.quality import column_contract, column_list, gates, schema_issues
 from grainhouse.plans.rebuild import GateError, migrate_delivery_timing, open_current, rebuild
 from grainhouse.plans.warehouse import RawTables, Warehouse
-from grainhouse.session import input_bytes, shared_folder, size_shuffles
+from grainhouse.session import input_bytes, shared_folder, size_shuffles, tune
 from grainhouse.sources.files import read_csv, refresh_mirror
 from grainhouse.sources.schemas import SCHEMAS, SRC_SCHEMAS
 from grainhouse.sources.store import Store, add_columns, backfill, conform, drop_columns
@@ -241,6 +241,21 @@ def test_shuffles_grow_with_the_input(spark, frame, store):
         spark.conf.unset(key)
 
 
+def test_shuffles_of_small_inputs_are_fine_enough_to_sort_in_memory(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    advisory, codec = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(advisory, None)
+    try:
+        assert size_shuffles(spark, 1 << 30) == 64
+        spark.conf.unset(advisory)
+        assert tune(spark).conf.get(advisory) == "32m" and spark.conf.get(codec) == "zstd"
+        spark.conf.set(advisory, "7m")
+        assert tune(spark).conf.get(advisory) == "7m"  # the caller's own size stays
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset(advisory) if before is None else spark.conf.set(advisory, before)
+
+
 def test_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
     class Session:
         class conf:
