@@ -1,5 +1,6 @@
 """Rejected rows, content checks, history tables, slicers, exact selection and the order-seller mirror."""
 
+import datetime
 import os
 import random
 import statistics
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from grainhouse.operators.history import start_history
 from grainhouse.operators.history_table import BUCKET, HistoryTable
 from grainhouse.operators.selection import exact_quantiles, rank_rows
-from grainhouse.plans import measures, quality, rebuild, reports, slices
+from grainhouse.plans import layers, measures, quality, rebuild, reports, slices
 from grainhouse.session import input_bytes, sized_shuffles
 from grainhouse.sources.files import ContentError, RejectedRows, check_content, load_csv, refresh_mirror, write_csv
 from grainhouse.sources.schemas import SCHEMAS, SRC_SCHEMAS
@@ -310,3 +311,32 @@ def test_slicers_never_multiply_orders(warehouse):
     assert reports.sliced_orders(warehouse, ["nowhere"]).isEmpty() and reports.sliced_orders(warehouse, None, ["nowhere"]).isEmpty()
     card = reports.promise_cards(warehouse, seller_state=["nowhere"]).first()
     assert card.delivered_orders == 0 and card.points_lost is None and card.pct_late is None
+
+
+def test_order_sellers_take_the_dates_of_the_order(frame):
+    """Items come without dates: only keys and amounts travel with the pairs."""
+    items = frame(
+        [(1, 7, "10.00", "1.00"), (1, 7, "5.00", "1.00"), (1, 8, "2.00", "0.50"), (2, None, "3.00", "0.25")],
+        "order_key long, seller_key long, price string, freight_value string",
+    ).selectExpr("order_key", "seller_key", "cast(price as decimal(10,2)) price", "cast(freight_value as decimal(10,2)) freight_value")
+    bought, sent, came = (datetime.datetime(2018, 5, d, 12) for d in (1, 2, 6))
+    spine = frame(
+        [(1, 20180501, "delivered", "X", "RJ", 0.0, 0.0, bought, sent, came), (2, 20180501, "shipped", "Y", None, None, None, bought, sent, None)],
+        "order_key long, purchase_date_key int, order_status string, city string, state string, latitude double, longitude double, "
+        "order_purchase_timestamp timestamp_ntz, order_delivered_carrier_date timestamp_ntz, order_delivered_customer_date timestamp_ntz",
+    )
+    sellers = frame(
+        [(7, "s7", "A", "SP", 3.0, 4.0), (8, "s8", "B", "SP", 0.0, 1.0)],
+        "seller_key long, seller_id string, city string, state string, latitude double, longitude double",
+    )
+    pairs = layers.order_sellers(spine, items, sellers)
+    columns = ["order_key", "seller_key", "item_rows", "dated_rows", "price", "actual_days", "handling_minutes", "transit_minutes", "distance", "first_of_state"]
+    found = [tuple(float(v) if c == "price" else v for c, v in zip(columns, r)) for r in pairs.select(columns).collect()]
+    assert sorted(found, key=repr) == sorted(
+        [
+            (1, 7, 2, 2, 15.0, 5, 1440, 5760, 5.0, True),
+            (1, 8, 1, 1, 2.0, 5, 1440, 5760, 1.0, False),
+            (2, None, 1, 0, 3.0, None, 1440, None, None, False),
+        ],
+        key=repr,
+    )
