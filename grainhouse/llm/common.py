@@ -76,6 +76,12 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [text or "" for text in values(batch, name)]
 
 
+def each_text(batch: pa.RecordBatch, rows: int = 256) -> Iterator[str]:
+    """The texts of a batch, null read as empty; only ``rows`` of them are Python strings at a time."""
+    for start in range(0, batch.num_rows, rows):
+        yield from texts(batch.slice(start, rows))
+
+
 def runs(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Cut consecutive items into runs (from, to) of at most ``most`` in total; a larger item is a run of its own."""
     start = end = total = 0

@@ -13,7 +13,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import ahocorasick
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainhouse.llm.common import batch_of, broadcast_checked, texts, values
+from grainhouse.llm.common import batch_of, broadcast_checked, each_text, values
 
 # Letters of other scripts that look like Latin ones, and signs written for letters.
 HOMOGLYPHS = str.maketrans("авекмнорстухіјѕԁɡӏαβεηικνορτυχ", "abekmhopctyxijsdglabenikvoptux")
@@ -105,7 +105,7 @@ class ToxicityModel:
     curve: tuple[float, ...]  # of the features, then the constant
     exceptions: tuple[str, ...] = EXCEPTIONS
 
-    def scores(self, matcher: Matcher, batch: list[str]) -> np.ndarray:
+    def scores(self, matcher: Matcher, batch: Iterable[str]) -> np.ndarray:
         found = np.array([matcher.features(t) for t in batch]).reshape(-1, 3)
         return 1 / (1 + np.exp(-np.clip(found @ np.array(self.curve[:-1]) + self.curve[-1], -30, 30)))
 
@@ -121,7 +121,7 @@ def _count(rows: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[Counter[str], Counter[str]] = Counter(), Counter()  # of clean rows, of toxic rows
         for found in batches:
-            for text, toxic in zip(texts(found), values(found, "_toxic"), strict=True):
+            for text, toxic in zip(each_text(found), values(found, "_toxic"), strict=True):
                 held[toxic == 1].update(terms_of(fold(text)))
                 if len(held[0]) + len(held[1]) > FLUSH:
                     yield batch(held)
@@ -207,7 +207,7 @@ def _features(rows: DataFrame, weights: dict[str, float]) -> DataFrame:
         matcher = Matcher(weights)
         for batch in batches:
             if batch.num_rows:
-                found = [matcher.features(t) for t in texts(batch)]
+                found = [matcher.features(t) for t in each_text(batch)]
                 yield batch_of(schema, *map(list, zip(*found, strict=True)), values(batch, "toxic"), values(batch, "at"))
 
     return rows.select("text", F.col("_toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("at")).mapInArrow(
@@ -222,7 +222,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.weights, model.exceptions)
         for batch in batches:
-            found = model.scores(matcher, texts(batch))
+            found = model.scores(matcher, each_text(batch))
             yield batch_of(schema, batch.column(0), found, (found >= 0.5).astype(np.int32))
 
     return docs.select("doc_id", "text").mapInArrow(rate, "doc_id long, score double, predicted int")
@@ -234,7 +234,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.weights, model.exceptions)
         for batch in batches:
-            yield batch.filter(pa.array(model.scores(matcher, texts(batch)) < 0.5))
+            yield batch.filter(pa.array(model.scores(matcher, each_text(batch)) < 0.5))
 
     return docs.mapInArrow(keep, docs.schema)
 

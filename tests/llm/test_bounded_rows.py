@@ -2,8 +2,9 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from grainhouse.llm import lm_difference
+from grainhouse.llm import common, lm_difference, toxicity
 
 
 def _sums(rows):
@@ -37,3 +38,16 @@ def test_tables_of_the_difference_are_zstd_and_the_setting_is_put_back(spark, mo
         assert seen == ["zstd"] and spark.conf.get("spark.sql.parquet.compression.codec") == "snappy"
     finally:
         spark.conf.set("spark.sql.parquet.compression.codec", before)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 256, 700])
+def test_texts_are_strings_a_few_at_a_time(monkeypatch, rows):
+    sizes, texts = [], common.texts
+    monkeypatch.setattr(common, "texts", lambda batch, name="text": sizes.append(batch.num_rows) or texts(batch, name))
+    given = [None if n % 7 == 0 else f"you idiot {n}" for n in range(rows)]
+    batch = pa.RecordBatch.from_arrays([pa.array(given, pa.string())], names=["text"])
+    model = toxicity.ToxicityModel({"idiot": 2.0}, (1.0, 1.0, 0.0, -1.0))
+    matcher = toxicity.Matcher(model.weights)
+    got = model.scores(matcher, common.each_text(batch))
+    assert sum(sizes) == rows and max([0, *sizes]) <= 256
+    assert got.tolist() == model.scores(matcher, texts(batch)).tolist()
