@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from grainhouse.llm.common import batch_of, runs, texts, values
 from grainhouse.sources.store import Store
@@ -51,11 +52,11 @@ BATCH_CHARS = 2_000_000
 def _choose(keys: np.ndarray, counts: np.ndarray, base: int) -> np.ndarray:
     """The most frequent pairs such that no symbol both begins one and ends one, but for pairs of a symbol that is in no other."""
     order = np.argsort(-counts, kind="stable")
-    begins, ends, chosen = set(), set(), []
+    roles, chosen = bytearray(base), []  # of each symbol: 1 begins a chosen pair, 2 ends one
     for k, a, b in zip(order.tolist(), (keys[order] // base).tolist(), (keys[order] % base).tolist(), strict=True):
-        if a not in ends and b not in begins and (a != b or (a not in begins and b not in ends)):
-            begins.add(a)
-            ends.add(b)
+        if roles[a] < 2 and not roles[b] & 1 and (a != b or not roles[a]):
+            roles[a] |= 1
+            roles[b] |= 2
             chosen.append(k)
     return keys[np.sort(chosen)] if chosen else keys[:0]
 
@@ -75,17 +76,19 @@ def compress(ids: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
     alphabet, flat = _ranked(ids)
     last = np.zeros(len(flat), bool)
     last[np.cumsum(sizes)[sizes > 0] - 1] = True
+    flat = flat.astype(np.uint32)
     rules, n = [np.empty((0, 2), np.int64)], len(alphabet)
     while len(flat) > 1:
         base = n + 1
-        keys = flat[:-1] * base + flat[1:]
+        kind = np.uint32 if base < 1 << 16 else np.int64  # keys in as few bytes as they need
+        keys = flat[:-1].astype(kind) * kind(base)
+        keys += flat[1:]
         inside = ~last[:-1]
         # of a run of equal symbols every other pair, so that no occurrence overlaps another one
         same = np.flatnonzero(inside & (flat[:-1] == flat[1:]))
         first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
         inside[same[(same - np.repeat(same[first], np.diff(np.append(first, len(same))))) % 2 == 1]] = False
-        narrow = np.uint32 if base < 1 << 16 else np.int64
-        ordered = np.sort(keys[inside].astype(narrow))
+        ordered = np.sort(keys[inside])
         at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, np.int64)
         counts = np.diff(np.append(at, len(ordered)))
         often = counts >= LEAST_COUNT
@@ -95,8 +98,9 @@ def compress(ids: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
         begins, ends = np.zeros(base, bool), np.zeros(base, bool)
         begins[chosen // base] = ends[chosen % base] = True
         found = np.flatnonzero(inside & begins[flat[:-1]] & ends[flat[1:]])
-        place = np.minimum(np.searchsorted(chosen, keys[found]), len(chosen) - 1)
-        hit = chosen[place] == keys[found]
+        wanted, sought = chosen.astype(kind), keys[found]
+        place = np.minimum(np.searchsorted(wanted, sought), len(wanted) - 1)
+        hit = wanted[place] == sought
         found, place = found[hit], place[hit]
         rules.append(np.stack([chosen // base, chosen % base], 1))
         flat[found] = n + place
@@ -178,6 +182,14 @@ class Shard:
 # --- tokens
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return [letters[b] for b in range(256)]
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library, which sees each distinct word once.
 
@@ -192,6 +204,13 @@ class WordEncoder:
         enc = lambda x: self.library.encode(x, add_special_tokens=False).ids
         if any(enc(p) != [i for w in self.words(p) for i in enc(w)] for p in probe):
             raise ValueError("this vocabulary has tokens across white space")
+        # The library again without the steps that leave plain words as they are: many of them in one call
+        self.plain = Tokenizer(self.library.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
+        ends = np.zeros(self.library.get_vocab_size() + 1, bool)
+        ends[[i for token, i in self.library.get_vocab().items() if token.endswith(_WORD_END) and i < len(ends)]] = True
+        self.word_ends = ends
+        self.bytes_shown = {b: c for b, c in enumerate(_byte_letters()) if b > 127}
         self._forget()
 
     @staticmethod
@@ -199,11 +218,11 @@ class WordEncoder:
         # str.split() also cuts at four control characters, which the library keeps
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return _BLANK.split(text)
-        # Fewer distinct words, same ids: ASCII in lower case (but for special tokens), and a stop or comma apart from the
+        # Fewer distinct words, same ids: Latin-1 in lower case (but for special tokens), and a stop or comma apart from the
         # letters before it, unless some word here ends in a run of punctuation, which is one token, or in a letter that the
         # normaliser may take apart into a letter and a mark.
         if "<|" not in text and not _MARKS.search(text):
-            text = text.lower() if text.isascii() else text
+            text = text.lower() if _is_latin(text) else text
             text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
         return text.split()
 
@@ -212,13 +231,36 @@ class WordEncoder:
         self.memo_from = self.memo_size = np.empty(0, np.int64)
         self.memo_ids = np.empty(0, np.uint32)
 
+    def _plain_ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids on end, ids of each) of plain words; None where the ends of words cannot be told from their ids."""
+        shown = "\n".join(new)
+        shown = (shown if shown.isascii() else shown.encode().decode("latin-1").translate(self.bytes_shown)).split("\n")
+        joined = [" ".join(shown[k : k + 256]) for k in range(0, len(shown), 256)]
+        found = [e.ids for e in self.plain.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        stops = np.flatnonzero(self.word_ends[np.minimum(ids, len(self.word_ends) - 1)]) + 1
+        return (ids, np.diff(stops, prepend=0)) if len(stops) == len(new) and (not new or stops[-1] == len(ids)) else None
+
     def _learn(self, new: list[str]) -> None:
+        plain: tuple[list, list, list] = ([], [], [])  # ASCII words, other plain words, all others
+        for word in new:
+            plain[int(not word.isascii()) if _PLAIN.fullmatch(word) else 2].append(word)
+        new = plain[2]
+        for words in plain[:2]:
+            known = self._plain_ids(words)
+            if known is None:
+                new += words
+            else:
+                self._keep(words, *known)
         found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
+        self._keep(new, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts)
+
+    def _keep(self, new: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new)), strict=True))
         self.memo_from = np.concatenate([self.memo_from, len(self.memo_ids) + np.cumsum(counts) - counts])
         self.memo_size = np.concatenate([self.memo_size, counts])
-        self.memo_ids = np.concatenate([self.memo_ids, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))])
+        self.memo_ids = np.concatenate([self.memo_ids, ids])
 
     def encode(self, batch: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts on end, each with the end id; ids of each)."""
@@ -242,7 +284,18 @@ class WordEncoder:
 
 
 _BLANK = re.compile("[ \t\n\r]+")
-_MARKS = re.compile(r"(?:[^\w\s]|_|[^\x00-\x7fÀ-ÿ])[.,]\s")
+_MARKS = re.compile(r"[.,](?<=[^\w\s][.,]|_[.,]|[^\x00-\x7fÀ-ÿ][.,])\s")
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")  # one token run each, which the normaliser leaves as it is
+_WORD_END = "</w>"
+
+
+def _is_latin(text: str) -> bool:
+    """No character beyond U+00FF: lower case is then one character a character, and nothing is composed."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @lru_cache(maxsize=1)

@@ -320,6 +320,31 @@ def test_word_ids_before_stops_and_commas():
         assert found == [e.ids for e in expected]
 
 
+def test_plain_words_are_encoded_many_at_a_time(monkeypatch):
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        encoder = repair.WordEncoder(file.read())
+    # Latin-1 goes in lower case; a text with a letter and a mark does not, its normal form may depend on the case
+    assert encoder.words("\u00c9t\u00c9 Ab") == ["\u00e9t\u00e9", "ab"] and encoder.words("H\u0331 Ab") == ["H\u0331", "Ab"]
+    plain = [a + b + c for a in "ae\u00e9\u00df\u00ff" for b in "nt\u00e0" for c in "rsz\u00fe"] + ["a", "\u00ff", "though"]
+    odd = ["it's", "a1b", "x!!", "\u00aa\u00ba\u00b5", "\u03a3", "&&&", "H\u0331"]
+    ids, sizes = encoder._plain_ids(plain)
+    expected = [encoder.library.encode(w, add_special_tokens=False).ids for w in plain]
+    assert sizes.tolist() == [*map(len, expected)] and ids.tolist() == [i for own in expected for i in own]
+    texts = [" ".join(plain + odd), " ".join(odd).upper(), "THOUGH " + plain[3].upper()]
+
+    def same():
+        encoder._forget()
+        found, size = encoder.encode(texts, 2)
+        whole = [[*encoder.library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert found.tolist() == [i for own in whole for i in own] and size.tolist() == [*map(len, whole)]
+
+    same()
+    # where ends of words cannot be told, each word is encoded alone
+    monkeypatch.setattr(encoder, "word_ends", np.zeros_like(encoder.word_ends))
+    assert encoder._plain_ids(plain) is None
+    same()
+
+
 # --- 10 near duplicates: rows without a doc_id
 
 
