@@ -90,3 +90,13 @@ def test_pairs_travel_without_what_their_seller_says(frame, spine, sellers):
     long_way = layers.laid_out(conform(pairs, SCHEMAS["order_sellers"]))
     assert placed.columns == long_way.columns
     assert rows_of(placed) == rows_of(long_way) and placed.where(F.col("route_type") == "Same State").count() == 1
+
+
+def test_a_layout_shuffles_one_partition_column(frame):
+    rows = frame([(1, 20180105, 1), (2, 20171231, 2), (3, None, 3)], "order_key long, purchase_date_key int, purchase_year int")
+    by_year, by_month = layers.laid_out(rows), layers.laid_out(rows, layers.MONTH)
+    assert rebalanced(by_year.drop("order_key")) == {"purchase_date_key", layers.MONTH}
+    assert layers.YEAR not in rebalanced(by_month)
+    assert rows_of(by_year.select("order_key", layers.YEAR)) == [(1, 2018), (2, 2017), (3, None)]
+    assert by_month.columns == ["order_key", "purchase_date_key", layers.MONTH]
+    assert rows_of(by_month) == [(1, 20180105, 201801), (2, 20171231, 201712), (3, None, None)]

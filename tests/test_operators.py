@@ -71,6 +71,19 @@ def test_numbering_takes_one_shuffle_of_ordinary_groups(frame, store, skewed, mo
     )
 
 
+def test_only_groups_of_crowded_slots_are_counted_one_by_one(frame, monkeypatch):
+    df = frame([(g, k) for g, n in (("a", 5), ("b", 3), (None, 4), ("c", 3), ("d", 1)) for k in range(n)], "g string, i int").repartition(3)
+    monkeypatch.setattr(keys, "LARGE_GROUP", 3)
+    for slots in (1 << 16, 2, 1):  # groups in slots of their own, and several in one
+        monkeypatch.setattr(keys, "SLOTS", slots)
+        assert rows_of(keys._large_groups(df, "g")) == [("a",), (None,)]
+    monkeypatch.setattr(keys, "LARGE_GROUP", 13)
+    large = keys._large_groups(df, "g")
+    assert rows_of(large) == [], "a crowded slot without a large group"
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.count("Aggregate") == 2
+
+
 def test_numbering_keeps_the_group_without_a_key(frame, store):
     got = number_within(frame([(None, 2), ("a", 9), (None, 1)], "g string, i int"), "g", ["i"], "n", store, "nulls")
     assert rows_of(got.select("g", "i", "n")) == [("a", 9, 1), (None, 1, 1), (None, 2, 2)]
