@@ -8,9 +8,10 @@ probability of their Jaccard similarity, concentrated like independent samples.
 ``ROWS`` coordinates make a band. Equal sets are one node of the graph. Nodes that share a band meet in a bucket; a bucket never
 lists all its pairs. Each round picks centres, nodes of a bucket's smallest components and among them those with the most company,
 doubling their number, and compares them with the members of other components; a centre then leaves its bucket. From the second
-round on, a node that is a centre anywhere is one in all its buckets, a pair is compared in the first bucket that it ever shared,
-and nodes with too many shingles that no other node has leave the buckets where they cannot reach the threshold. The loop ends
-when no bucket holds two components, so every pair that shares a band has been compared, is out of reach or is connected already.
+round on, a node that is a centre anywhere is one in all its buckets, and a pair is compared in the first bucket that it ever shared.
+Shingles of at most ``RARE`` nodes are set apart there: pairs that need one of them are listed by these shingles, and nodes that
+cannot reach the threshold by their other shingles leave the buckets. The loop ends when no bucket holds two components, so every
+pair that shares a band has been compared, is out of reach or is connected already.
 Pairs whose sketches agree too little are out of reach of the threshold (six standard deviations); all others are confirmed on
 their full sets of 64-bit shingle hashes.
 """
@@ -35,6 +36,7 @@ PERCENT = 85  # linked from this similarity, unless the caller gives another one
 ROWS = 5
 BANDS = 25
 COORDINATES = ROWS * BANDS
+RARE = 8  # nodes of a shingle whose pairs are listed: at most 3.5 for each place of a shingle
 BATCH_CHARS = 500_000
 MEMO_WORDS = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -148,11 +150,13 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``held`` that may still have a link in their bucket, with ``_size_of`` and ``_known`` of their sets and ``_buckets``.
+def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame, percent: int, store: Store, name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``held`` that may have a link in their bucket by common shingles, pairs (a, b) that need a rare one).
 
-    A pair of sets of n and m shingles is linked if they share at least percent / (100 + percent) of n + m. A set shares no
-    shingle that is in no other set here, and no partner is smaller than the smallest set of the bucket.
+    A pair of sets of n and m shingles is linked if they share at least percent / (100 + percent) of n + m. Two sets that share no
+    rare shingle, one of at most ``RARE`` sets here, share no more than the common ones of either, and no partner is smaller than
+    the smallest set of the bucket. The rows get ``_size_of`` and ``_common`` of their sets and ``_buckets``; a pair that common
+    shingles do not bring to the threshold is among the pairs here if it shares a rare one and a bucket.
     """
     schema = pa.schema([("node", pa.binary()), ("shingle", pa.int64())])
 
@@ -163,17 +167,30 @@ def _within_reach(held: DataFrame, sets: DataFrame, places: DataFrame, percent:
                 owner = np.repeat(np.arange(start, end), [*map(len, found[start:end])])
                 yield batch_of(schema, batch.column("node").take(pa.array(owner)), pa.array(np.concatenate(found[start:end])))
 
-    live = sets.join(held.select("node").distinct(), "node", "left_semi")
+    of_node = held.groupBy("node").agg(F.first("component").alias("component"))
+    live = sets.join(of_node, "node")
     owners = live.select("node", "shingles").mapInArrow(one_by_one, "node binary, shingle long")
-    owners = owners.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("_n"))
-    alone = owners.where("_n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("_alone"))
+    few = owners.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= RARE)
+    rare = store.overwrite(owners.join(few, "shingle"), name)
+    apart = rare.groupBy("node").agg(F.count_if(F.col("_n") == 1).alias("_alone"), F.count(F.lit(1)).alias("_rare"))
     size = (F.length("shingles") / 8).cast("long")
-    known = live.select("node", size.alias("_size_of")).join(alone, "node", "left")
-    known = known.select("node", "_size_of", (F.col("_size_of") - F.coalesce("_alone", F.lit(0))).alias("_known"))
-    held = held.join(known.join(places.select("node", "_buckets"), "node"), "node")
+    known = live.select("node", "component", size.alias("_size_of")).join(apart, "node", "left")
+    without = {c: F.col("_size_of") - F.coalesce(of, F.lit(0)) for c, of in (("_known", "_alone"), ("_common", "_rare"))}
+    known = known.withColumns(without).join(places.select("node", "_buckets"), "node").drop("_alone", "_rare")
+
+    shared = rare.where("_n > 1")
+    pairs = shared.select("shingle", F.col("node").alias("a")).join(shared.select("shingle", F.col("node").alias("b")), "shingle")
+    pairs = pairs.where(F.col("a") < F.col("b")).select("a", "b").distinct()
+    left, right = (known.select([F.col(c).alias(end if c == "node" else end + c) for c in known.columns]) for end in ("a", "b"))
+    pairs = pairs.join(left, "a").join(right, "b").where(F.col("acomponent") != F.col("bcomponent"))
+    need = percent * (F.col("a_size_of") + F.col("b_size_of"))
+    pairs = pairs.where(((100 + percent) * F.least("a_known", "b_known") >= need) & ((100 + percent) * F.least("a_common", "b_common") < need))
+    pairs = pairs.where(F.arrays_overlap("a_buckets", "b_buckets")).select("a", "b")
+
+    held = held.join(known.drop("component", "_known"), "node")
     least = held.groupBy("bucket").agg(F.min("_size_of").alias("_least"))
-    reach = (100 + percent) * F.col("_known") >= percent * (F.col("_size_of") + F.col("_least"))
-    return held.join(least, "bucket").where(reach).drop("_least")
+    reach = (100 + percent) * F.col("_common") >= percent * (F.col("_size_of") + F.col("_least"))
+    return held.join(least, "bucket").where(reach).drop("_least"), pairs
 
 
 def _centres(held: DataFrame, many: int, percent: int, store: Store, name: str) -> tuple[DataFrame, DataFrame]:
@@ -197,9 +214,9 @@ def _centres(held: DataFrame, many: int, percent: int, store: Store, name: str)
         return pairs, rest.select("bucket", "node", "_weight")
     marks = first.select(F.col("_centre").alias("node"), F.lit(True).alias("_is_centre")).distinct()
     held = held.join(marks, "node", "left").withColumn("_is_centre", F.col("_is_centre").isNotNull())
-    own = {"node": "_centre", "component": "_own", "_size_of": "_own_size", "_known": "_own_known", "_buckets": "_own_buckets"}
+    own = {"node": "_centre", "component": "_own", "_size_of": "_own_size", "_common": "_own_common", "_buckets": "_own_buckets"}
     centres = held.where("_is_centre").select("bucket", *own).withColumnsRenamed(own)
-    reach = (100 + percent) * F.least("_known", "_own_known") >= percent * (F.col("_size_of") + F.col("_own_size"))
+    reach = (100 + percent) * F.least("_common", "_own_common") >= percent * (F.col("_size_of") + F.col("_own_size"))
     # a pair belongs to the first bucket that it ever shared: where one of them is no longer there, the pair is settled
     once = F.col("bucket") == F.array_min(F.array_intersect("_buckets", "_own_buckets"))
     twice = F.col("_is_centre") & (F.col("node") < F.col("_centre"))
@@ -305,14 +322,15 @@ def _components(docs: DataFrame, store: Store, percent: int) -> DataFrame:
                 break
             if sets is None:  # of all nodes that are left, for this round and the later ones
                 sets = sets_of(held.select("node").distinct(), "sets")
-            held = store.overwrite(_within_reach(held, sets, places, percent), f"held_{k}")
+            held, listed = _within_reach(held, sets, places, percent, store, f"rare_{k}")
+            held = store.overwrite(held, f"held_{k}")
         pairs, rest = _centres(held, 1 << k, percent, store, f"centres_{k}")
-        pairs = store.overwrite(pairs, f"pairs_{k}")
+        pairs = store.overwrite(pairs.unionByName(listed) if k else pairs, f"pairs_{k}")
         members = store.overwrite(rest, f"members_{k + 1}")
         plausible = store.overwrite(_plausible(pairs, nodes, percent), f"plausible_{k}")
         full = sets if sets is not None else sets_of(plausible.select(F.col("a").alias("node")).union(plausible.select("b")).distinct(), f"sets_{k}")
         new = store.overwrite(_confirm(plausible, full, percent), f"links_{k}")
-        for name in (f"members_{k}", f"sets_{k}", f"open_{k}", f"held_{k}", f"centres_{k}", f"pairs_{k}", f"plausible_{k}"):
+        for name in (f"members_{k}", f"sets_{k}", f"open_{k}", f"rare_{k}", f"held_{k}", f"centres_{k}", f"pairs_{k}", f"plausible_{k}"):
             store.remove(name)
         if not new.isEmpty():
             # the components so far are stars, which stand for the links that made them

@@ -1,6 +1,7 @@
 """Operators beside plain Python over the same small folder, or over hand-made rows with a known answer."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -521,6 +522,38 @@ def test_components_are_exact(spark, store, documents, folder_texts):
     assert all(r.kept == (r.component_id == k) for k, r in found.items())
 
 
+def test_a_group_of_near_copies_is_not_compared_pair_by_pair(spark, store, documents, monkeypatch):
+    rng = random.Random(21)
+    base = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(150)]
+    fresh = itertools.count()
+
+    def edited(*edits):
+        words = [*base]
+        for at, word in edits:
+            words[at] = word
+        return " ".join(words)
+
+    def places(n):  # far apart: five shingles lost and five new ones each
+        return [10 * k + 5 for k in rng.sample(range(14), n)]
+
+    texts = [" ".join(base)] + [edited(*((at, f"own{next(fresh)}") for at in places(1))) for _ in range(60)]
+    for k in range(40):  # twins of three edits: one of them shared, and every fourth time two, which links them to each other alone
+        same, other, *own = places(4)
+        shared = [(same, f"twin{next(fresh)}")] + [(other, f"twin{next(fresh)}")] * (k % 4 == 0)
+        texts += [edited(*shared, *((at, f"own{next(fresh)}") for at in own[: 3 - len(shared)])) for _ in range(2)]
+    compared, plausible = [], sketch_dedup._plausible
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return plausible(pairs, *rest)
+
+    monkeypatch.setattr(sketch_dedup, "_plausible", counted)
+    found = by_id(sketch_dedup.near_duplicates(documents(texts), store))
+    assert {k: (r.n_shingles, r.component_id) for k, r in found.items()} == expected_components(dict(enumerate(texts)))
+    assert len({r.component_id for r in found.values()}) > 40
+    assert sum(compared[1:]) < 4 * len(texts), "after the first round those that share no rare shingle are out of reach"
+
+
 def test_pipeline_links_from_four_fifths(spark, store, documents):
     import corpus_pipeline
 
