@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainhouse.llm import mixing, pieces, secret_scan, sketch_dedup, toxicity
-from grainhouse.llm.common import scratch, ship_package, table
+from grainhouse.llm.common import scratch, ship_package, small_batches, table
 
 
 #: Similarity in percent from which two documents of the corpus are one.
@@ -17,7 +17,9 @@ NEAR_PERCENT = 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighted lexicon does not reject. The model is learned from the labels of these documents."""
     ship_package(spark)
-    return toxicity.drop_toxic(docs, toxicity.fit_folds(docs, table(spark, sf_dir, "labels")))
+    with small_batches(spark):  # written here, so that the setting holds while whole rows pass the workers
+        kept = toxicity.drop_toxic(docs, toxicity.fit_folds(docs, table(spark, sf_dir, "labels")))
+        return scratch(spark, "pipeline-toxicity").overwrite(kept, "kept")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from grainhouse.llm import byte_pairs, filter_audit, html_text, lm_difference, mixing, pieces, quality_rules, repair, secret_scan, sketch_dedup, spotsigs, toxicity, variants
-from grainhouse.llm.common import scratch, ship_package, table
+from grainhouse.llm.common import scratch, ship_package, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,7 +25,9 @@ def _repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    with small_batches(spark):  # written here, so that the setting holds while the texts are scored
+        scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+        return scratch(spark, "toxicity").overwrite(scored, "scored")
 
 
 def _spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import SMALL
 
 from grainhouse.llm import common, lm_difference, toxicity
 
@@ -51,3 +52,21 @@ def test_texts_are_strings_a_few_at_a_time(monkeypatch, rows):
     got = model.scores(matcher, common.each_text(batch))
     assert sum(sizes) == rows and max([0, *sizes]) <= 256
     assert got.tolist() == model.scores(matcher, texts(batch)).tolist()
+
+
+def test_toxicity_reads_and_writes_texts_in_small_batches(spark, monkeypatch):
+    import corpus_pipeline
+
+    from grainhouse.llm import queries
+    from grainhouse.sources.store import Store
+
+    key, seen, write = "spark.sql.execution.arrow.maxBytesPerBatch", [], Store.overwrite
+    before = spark.conf.get(key)
+    monkeypatch.setattr(Store, "overwrite", lambda store, df, name, *rest: (seen.append((name, spark.conf.get(key))), write(store, df, name, *rest))[1])
+    scored = queries.queries()["op3_toxicity"](spark, SMALL)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, SMALL)
+    assert seen == [("scored", "8m"), ("kept", "8m")] and spark.conf.get(key) == before
+    assert scored.columns == ["doc_id", "held_out", "score", "predicted"] and kept.schema == docs.schema
+    bad = {r.doc_id for r in scored.where("predicted = 1").collect()}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - bad
