@@ -25,7 +25,8 @@ from grainhouse.llm.common import batch_of, runs, texts, values
 MARK = "▁"  # stands for a space inside pieces
 LONG_WORD = 256
 MEMO_WORDS = 800_000  # distinct words a task remembers before it starts anew
-BATCH_CHARS = 4_000_000  # characters whose ids are held at once
+BATCH_ROWS = 512  # rows whose texts are strings at once
+BATCH_CHARS = 1_000_000  # characters whose ids are held at once
 _SPARK = {pa.int64(): "long", pa.string(): "string", pa.list_(pa.int32()): "array<int>"}
 NO_PAIR = 1 << 40
 _BYTE, _NORMAL, _USER = 6, 1, 4  # kinds of pieces in the model file
@@ -255,23 +256,32 @@ class PieceCodec:
 
 @lru_cache(maxsize=1)
 def codec_of(model: bytes) -> PieceCodec:
-    """The codec of a Python worker, kept for its next tasks with the words it knows."""
+    """The codec of a Python worker, kept for its next tasks without the words it has learned."""
     return PieceCodec(model)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], codec: PieceCodec, schema: pa.Schema, columns: list[str], row) -> Iterator[pa.RecordBatch]:
+    """The rows of a task. Its words are forgotten at the end: a worker goes on with other stages, which need the memory."""
+    try:
+        for batch in batches:
+            for first in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(first, BATCH_ROWS)
+                found = texts(part)
+                for start, end in runs(map(len, found), BATCH_CHARS):
+                    ids = codec.encode(found[start:end])
+                    kept = [part.column(part.schema.get_field_index(c)).slice(start, end - start) for c in columns]
+                    yield batch_of(schema, *kept, *row(codec, ids))
+    finally:
+        codec._forget()
+
+
 def _per_text(docs: DataFrame, model: str, schema: pa.Schema, columns: list[str], row) -> DataFrame:
     """Map texts batch by batch. The model file, a few MB at most, goes out from the driver."""
     with open(model, "rb") as file:
         shipped = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shipped.value)
-        for batch in batches:
-            found = texts(batch)
-            for start, end in runs(map(len, found), BATCH_CHARS):
-                ids = codec.encode(found[start:end])
-                kept = [batch.column(batch.schema.get_field_index(c)).slice(start, end - start) for c in columns]
-                yield batch_of(schema, *kept, *row(codec, ids))
+        return _encoded(batches, codec_of(shipped.value), schema, columns, row)
 
     fields = ", ".join(f"{f.name} {_SPARK[f.type]}" for f in schema)
     return docs.select(*columns, "text").mapInArrow(encode, fields)

@@ -1,11 +1,12 @@
 """How many rows and texts a task makes or holds at a time."""
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from conftest import SMALL
 
-from grainhouse.llm import common, lm_difference, toxicity
+from grainhouse.llm import common, lm_difference, pieces, toxicity
 
 
 def _sums(rows):
@@ -70,3 +71,17 @@ def test_toxicity_reads_and_writes_texts_in_small_batches(spark, monkeypatch):
     assert scored.columns == ["doc_id", "held_out", "score", "predicted"] and kept.schema == docs.schema
     bad = {r.doc_id for r in scored.where("predicted = 1").collect()}
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - bad
+
+
+def test_pieces_hold_few_texts_and_no_words_after_a_task(monkeypatch):
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        codec = pieces.PieceCodec(file.read())
+    held, read = [], pieces.texts
+    monkeypatch.setattr(pieces, "texts", lambda batch: (held.append(batch.num_rows), read(batch))[1])
+    own = [f"word{k} and word{k % 7}" for k in range(1300)] + [None, ""]
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64())])
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(own))), "text": own})
+    rows = [r for b in pieces._encoded(iter([batch]), codec, schema, ["doc_id"], lambda _, ids: [[len(i) for i in ids]]) for r in b.to_pylist()]
+    assert rows == [{"doc_id": k, "n": len(codec.library.encode(t or ""))} for k, t in enumerate(own)]
+    assert max(held) <= 512 and sum(held) == len(own)
+    assert not codec.memo and not len(codec.memo_ids)
