@@ -41,6 +41,7 @@ from grainhouse.sources.store import Store
 
 SHARD_TOKENS = 1 << 19  # ids of a shard; a longer document is a shard of its own
 LEAST_COUNT = 2  # a rule must replace so many pairs
+PASSES = 20  # over all pairs that are left, when a round's pairs are chosen
 END_ID = 2
 MEMO_WORDS = 800_000
 BATCH_CHARS = 2_000_000
@@ -50,15 +51,33 @@ BATCH_CHARS = 2_000_000
 
 
 def _choose(keys: np.ndarray, counts: np.ndarray, base: int) -> np.ndarray:
-    """The most frequent pairs such that no symbol both begins one and ends one, but for pairs of a symbol that is in no other."""
+    """The most frequent pairs such that no symbol both begins one and ends one, but for pairs of a symbol that is in no other.
+
+    Pairs are taken in order of their counts. All pairs that no earlier one left can exclude are taken at once and those that a
+    taken one excludes are dropped, ``PASSES`` times; what is left of long chains of pairs is gone through one by one.
+    """
     order = np.argsort(-counts, kind="stable")
-    roles, chosen = bytearray(base), []  # of each symbol: 1 begins a chosen pair, 2 ends one
-    for k, a, b in zip(order.tolist(), (keys[order] // base).tolist(), (keys[order] % base).tolist(), strict=True):
-        if roles[a] < 2 and not roles[b] & 1 and (a != b or not roles[a]):
-            roles[a] |= 1
-            roles[b] |= 2
-            chosen.append(k)
-    return keys[np.sort(chosen)] if chosen else keys[:0]
+    a, b = keys[order] // base, keys[order] % base
+    begins, ends = np.zeros(base, bool), np.zeros(base, bool)  # symbols that begin, end a chosen pair
+    begin_at, end_at = np.empty(base, np.int64), np.empty(base, np.int64)  # the first pair left that a symbol begins, ends
+    at, chosen = np.arange(len(keys)), []
+    for _ in range(PASSES):
+        if not len(at):
+            break
+        begin_at[b] = end_at[a] = len(keys)
+        begin_at[a[::-1]], end_at[b[::-1]] = at[::-1], at[::-1]
+        # a pair of equal symbols is the first of its symbol in both roles, or an earlier pair may exclude it
+        free = (end_at[a] >= at) & (begin_at[b] >= at) & ((a != b) | ((begin_at[a] == at) & (end_at[a] == at)))
+        chosen.append(at[free])
+        begins[a[free]] = ends[b[free]] = True
+        same = a == b
+        left = ~(free | ends[a] | begins[b] | (same & (begins[a] | ends[a])))
+        at, a, b = at[left], a[left], b[left]
+    for k, x, y in zip(at.tolist(), a.tolist(), b.tolist(), strict=True):
+        if not ends[x] and not begins[y] and (x != y or not begins[x]):
+            begins[x] = ends[y] = True
+            chosen.append([k])
+    return np.sort(keys[order[np.concatenate(chosen)]]) if chosen else keys[:0]
 
 
 def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,6 +90,13 @@ def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(seen), (np.cumsum(seen) - 1)[ids]
 
 
+def _slots(keys: np.ndarray) -> np.ndarray:
+    """18 bits of each key."""
+    if keys.dtype == np.uint32:
+        return (keys * np.uint32(0x9E3779B1)) >> np.uint32(14)
+    return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
+
+
 def compress(ids: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
     """Re-Pair over documents of the given sizes that lie on end: alphabet, rules, lengths, symbols, doc_symbols."""
     alphabet, flat = _ranked(ids)
@@ -95,10 +121,11 @@ def compress(ids: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
         chosen = _choose(ordered[at[often]].astype(np.int64), counts[often], base)
         if not len(chosen):
             break
-        begins, ends = np.zeros(base, bool), np.zeros(base, bool)
-        begins[chosen // base] = ends[chosen % base] = True
-        found = np.flatnonzero(inside & begins[flat[:-1]] & ends[flat[1:]])
-        wanted, sought = chosen.astype(kind), keys[found]
+        wanted = chosen.astype(kind)
+        maybe = np.zeros(1 << 18, bool)  # by a hash of the key, so that few others are looked up
+        maybe[_slots(wanted)] = True
+        found = np.flatnonzero(inside & maybe[_slots(keys)])
+        sought = keys[found]
         place = np.minimum(np.searchsorted(wanted, sought), len(wanted) - 1)
         hit = wanted[place] == sought
         found, place = found[hit], place[hit]

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from conftest import SMALL
 
-from grainhouse.llm import common, lm_difference, pieces, toxicity
+from grainhouse.llm import common, lm_difference, pieces, repair, toxicity
 
 
 def _sums(rows):
@@ -85,3 +85,29 @@ def test_pieces_hold_few_texts_and_no_words_after_a_task(monkeypatch):
     assert rows == [{"doc_id": k, "n": len(codec.library.encode(t or ""))} for k, t in enumerate(own)]
     assert max(held) <= 512 and sum(held) == len(own)
     assert not codec.memo and not len(codec.memo_ids)
+
+
+def _one_by_one(keys, counts, base):
+    order = np.argsort(-counts, kind="stable")
+    begins, ends, chosen = set(), set(), []
+    for k in order.tolist():
+        a, b = divmod(int(keys[k]), base)
+        if a not in ends and b not in begins and (a != b or a not in begins):
+            begins.add(a)
+            ends.add(b)
+            chosen.append(int(keys[k]))
+    return sorted(chosen)
+
+
+@pytest.mark.parametrize("passes", [1, 20])
+def test_pairs_chosen_together_are_those_chosen_one_by_one(monkeypatch, passes):
+    monkeypatch.setattr(repair, "PASSES", passes)
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        base = int(rng.integers(2, 14))
+        keys = np.unique(rng.integers(0, base * base, rng.integers(0, 120)))
+        counts = rng.integers(2, 6, len(keys))
+        assert repair._choose(keys, counts, base).tolist() == _one_by_one(keys, counts, base)
+    chain = np.arange(200) * 202 + 1  # (0, 1), (1, 2), ...: each pair excludes the next
+    counts = np.arange(300, 100, -1)
+    assert repair._choose(chain, counts, 201).tolist() == _one_by_one(chain, counts, 201)
