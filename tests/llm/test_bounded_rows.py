@@ -1,8 +1,11 @@
 """How many rows and texts a task makes or holds at a time."""
 
+import glob
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import SMALL
 
@@ -111,3 +114,26 @@ def test_pairs_chosen_together_are_those_chosen_one_by_one(monkeypatch, passes):
     chain = np.arange(200) * 202 + 1  # (0, 1), (1, 2), ...: each pair excludes the next
     counts = np.arange(300, 100, -1)
     assert repair._choose(chain, counts, 201).tolist() == _one_by_one(chain, counts, 201)
+
+
+def test_a_chunk_is_a_row_group_of_its_own(spark, store, monkeypatch):
+    docs = spark.createDataFrame([(n, f"w{n % 40} of w{n % 7} and w{n % 11} in w{n % 5}") for n in range(200)], "doc_id long, text string").coalesce(1)
+    target = docs.where("doc_id % 3 = 0").select("doc_id")
+    key = "parquet.block.row.count.limit"
+    monkeypatch.setattr(lm_difference, "CHUNK_TOKENS", 100)
+    monkeypatch.setattr(lm_difference, "scratch", lambda *_: store)
+    scores = lm_difference.score_documents(docs, target).collect()
+    assert len(scores) == 200 and spark.conf.get(key, None) is None
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(store.path("coded/*.parquet"))]
+    groups = [m.row_group(g).num_rows for m in files for g in range(m.num_row_groups)]
+    assert len(groups) > 10 and set(groups) == {1} and len(files) < len(groups), "a task reads and writes one chunk at a time"
+
+
+def test_rows_for_buckets_are_handed_back_a_few_at_a_time(monkeypatch):
+    keys = np.arange(5000, dtype=np.uint64)
+    counts = keys.astype(np.int64)
+    (whole,) = lm_difference._dealt(3, keys, 64, "<i8", keys, counts, counts)
+    monkeypatch.setattr(lm_difference, "BATCH_BYTES", 10_000)
+    parts = list(lm_difference._dealt(3, keys, 64, "<i8", keys, counts, counts))
+    assert len(parts) > 10 and max(p.nbytes for p in parts) < 12_000
+    assert pa.Table.from_batches(parts).to_pylist() == whole.to_pylist()
