@@ -9,14 +9,17 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from grainhouse.functions.digest import digest_of
 from grainhouse.operators.history import start_history
 from grainhouse.operators.history_table import BUCKET, HistoryTable
 from grainhouse.operators.selection import exact_quantiles, rank_rows
 from grainhouse.plans import layers, measures, quality, rebuild, reports, slices
+from grainhouse.plans.incremental import FACTS, IncrementalLoad
+from grainhouse.registry.maintenance import LOOKBACK, batches_at_cut
 from grainhouse.session import input_bytes, sized_shuffles
 from grainhouse.sources.files import ContentError, RejectedRows, check_content, load_csv, refresh_mirror, write_csv
 from grainhouse.sources.schemas import SCHEMAS, SRC_SCHEMAS
-from grainhouse.sources.store import Store, conform
+from grainhouse.sources.store import MeasuringStore, Store, conform
 
 
 def files_of(folder):
@@ -340,3 +343,24 @@ def test_order_sellers_take_the_dates_of_the_order(frame):
         ],
         key=repr,
     )
+
+
+def test_a_first_load_writes_its_rows_once_beside_the_table(spark, warehouse, store, monkeypatch):
+    (early, known), (now, spine) = batches_at_cut(warehouse)
+    written, overwrite = [], MeasuringStore.overwrite
+    monkeypatch.setattr(MeasuringStore, "overwrite", lambda self, df, name, by=(): written.append(name) or overwrite(self, df, name, by))
+    load = IncrementalLoad(store)
+    load.load("first", early, known, LOOKBACK)
+    assert sorted(written) == sorted([*FACTS, "order_totals", "new_order_totals"])
+    del written[:]
+    load.load("second", now, spine, LOOKBACK)
+    assert sorted(written) == sorted([*FACTS, "order_totals", *(f"new_{f}" for f in (*FACTS, "order_totals"))])
+    ledger = {(r.batch, r.table_name): r for r in load.ledger().where("state = 'done'").collect()}
+    for f in FACTS:
+        table = load.table(f)
+        seen = table.selectExpr("count(*)", "count(DISTINCT fact_key)", "max(fact_key)", "max(purchase_date_key)").first()
+        first, second = ledger["first", f], ledger["second", f]
+        assert tuple(seen) == (first.rows + second.rows, first.rows + second.rows, second.top_key, second.mark)
+        columns = sorted(set(table.columns) - {"fact_key"})
+        whole = digest_of(table, columns).first()  # sums of both batches, which have the same columns
+        assert (whole.digest_a, whole.digest_b) == (first.digest_a + second.digest_a, first.digest_b + second.digest_b)
