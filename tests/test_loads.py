@@ -7,6 +7,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from grainhouse.functions import digest
 from grainhouse.functions.digest import content_differences, digest_of
 from grainhouse.plans import layers, measures, reports
 from grainhouse.plans import quality as q
@@ -316,3 +317,11 @@ def test_audit_finds_orphans_duplicates_and_repeated_keys(frame):
     keys = {r.table_name: (r.total_rows, r.distinct_keys) for r in q.key_population(wh).collect()}
     assert keys["dim_customer"] == (4, 2) and keys["fact_order_items"] == (4, 3) and keys["dim_seller"] == (0, 0)
     assert rows_of(q.key_gates(wh)) == [("duplicate grain", 4), ("key population", 3), ("orphans", 5)]
+
+
+def test_digest_sums_are_exact_and_of_whole_numbers(frame):
+    numbers = [-(1 << 63), (1 << 63) - 1, -1, 0, 1, (1 << 42) - 1, -(1 << 42) - 1, 1 << 21, *[-(1 << 63)] * 50, *[(1 << 63) - 1] * 7]
+    rows = frame([(n,) for n in numbers] + [(None,)], "n long").repartition(3)
+    assert int(rows.agg(digest._total(F.col("n"))).first()[0]) == sum(numbers)
+    assert int(rows.where("n is null").agg(digest._total(F.col("n"))).first()[0]) == 0
+    assert "sum(cast(" not in plan(digest_of(rows))  # decimals are made of the sums, not of each row
